@@ -222,8 +222,7 @@ def complete(d: Derived) -> DataFrame:
 
 
 def _unique(d: Derived) -> DataFrame:
-    kept = cleaning.apply_business_rules(cleaning_run.prepare(d.raw))
-    return cleaning.remove_duplicates(kept)
+    return cleaning.remove_duplicates(cleaning_run.kept(d.raw))
 
 
 @check("f03_exact_dedup", _with(o.UP_TO_UNIQUE, f"select {_TYPED_OUTPUT} from uniques"))

@@ -6,25 +6,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Decimal notation with an optional exponent, white space allowed around it.
-_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+# The characters of decimal notation with an exponent, and white space.
+_NUMBER_CHARACTERS = "0123456789+-.eE \t\n\r\f\v"
 _WHOLE = T.DecimalType(38, 0)
 
 
 def parse_number(c: Column) -> Column:
-    """The text as a double; null when it is no finite number.
+    """The text as a double; null when it is no number.
 
-    The pattern keeps out what a Spark cast would take but a data file should
-    not mean: ``1d``, ``1f``, ``inf``, ``nan``.
+    The cast checks the form. The list of characters keeps out what the cast
+    would take but a data file should not mean: ``1d``, ``1f``, ``inf``, ``nan``.
+    A number too large for a double still gives infinity; see ``finite``.
     """
-    number = F.when(c.rlike(_NUMBER), c.try_cast("double"))
-    return F.when(F.abs(number) < float("inf"), number)
+    return F.when(F.translate(c, _NUMBER_CHARACTERS, "") == "", c.try_cast("double"))
 
 
 def finite(c: Column) -> Column:
-    """A numeric column with NaN and the infinities turned to null."""
-    value = c.cast("double")
-    return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+    """A double with NaN and the infinities turned to null."""
+    return F.when(F.abs(c) < float("inf"), c)  # NaN is the greatest value
 
 
 def to_decimal(c: Column, kind: T.DecimalType, name: str) -> Column:

@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 
 from almacen.model import NA_TOKENS, REMOVED_CHARACTERS
 
-# Unicode white space plus the four ASCII separators, which Java leaves out.
-_WHITE_SPACE = r"(?U)[\s\x1c-\x1f]+"
-_CASED = r"[\p{IsLowercase}\p{IsUppercase}\p{IsTitlecase}]"
-_WORD_START = f"(?<!{_CASED})(?={_CASED})"
+# All Unicode white space, the four ASCII separators included. Spelled out, because
+# Java's own class leaves those out and is slower with Unicode switched on.
+_WHITE_SPACE = (
+    r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
+)
+_CASED = r"\p{IsLowercase}\p{IsUppercase}\p{IsTitlecase}"
+_WORD_INSIDE = f"(?<=[^ {_CASED}])(?=[{_CASED}])"
 _PLAIN_WORDS = "^[A-Za-z ]*$"
+_BREAK = "\uffff "  # a code point no text may hold, and the space that starts a word
 
 
 def blank_to_null(c: Column, tokens: Iterable[str] = NA_TOKENS) -> Column:
@@ -26,21 +30,15 @@ def clean_text(c: Column, removed: str = REMOVED_CHARACTERS) -> Column:
     return F.trim(F.regexp_replace(F.translate(c, removed, ""), _WHITE_SPACE, " "))
 
 
-def _capitalise(word: Column) -> Column:
-    # the tail is cut from the lowered word, so that a final sigma keeps its word around it
-    first = F.substring(word, 1, 1)
-    tail = F.substring(F.lower(word), F.length(F.lower(first)) + 1, F.length(word))
-    return F.concat(F.initcap(first), tail)
-
-
 def title_case(c: Column) -> Column:
     """Upper-case each letter that follows a character without case, lower-case the rest.
 
-    ``initcap`` starts words at white space only; it is kept for values made of
-    ASCII letters and spaces, where both rules agree and it is much cheaper.
+    ``initcap`` starts words at spaces only, so a mark with a space is put in
+    wherever a word starts inside another (``o'neil``, ``3m``) and taken out
+    again. Values of ASCII letters and spaces have no such place.
     """
-    words = F.split(c, _WORD_START)
-    by_letter = F.array_join(F.transform(words, _capitalise), "")
+    marked = F.initcap(F.regexp_replace(c, _WORD_INSIDE, _BREAK))
+    by_letter = F.replace(marked, F.lit(_BREAK), F.lit(""))
     return F.when(c.rlike(_PLAIN_WORDS), F.initcap(c)).otherwise(by_letter)
 
 

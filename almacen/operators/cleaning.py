@@ -41,34 +41,31 @@ def clean_text_columns(df: DataFrame, rules: CleaningRules = RULES) -> DataFrame
 
 def standardise_case(df: DataFrame, rules: CleaningRules = RULES) -> DataFrame:
     _require(df, rules.text)
-    cased = {}
-    for name in rules.text:
-        value = F.col(name)
-        if name in rules.underscored:
-            value = text.underscores_to_spaces(value)
-        cased[name] = text.title_case(value)
-    return df.withColumns(cased)
+    spaced = {c: text.underscores_to_spaces(F.col(c)) for c in rules.underscored}
+    return df.withColumns(spaced).withColumns({c: text.title_case(F.col(c)) for c in rules.text})
 
 
 def convert_types(df: DataFrame, rules: CleaningRules = RULES) -> DataFrame:
     """Measures to double and the date to a timestamp; unreadable cells become null."""
     _require(df, [rules.date])
     typed: dict[str, Column] = {}
-    for name in _present(df, rules.measures):
+    measures = _present(df, rules.measures)
+    for name in measures:
         is_text = isinstance(df.schema[name].dataType, T.StringType)
-        typed[name] = numbers.parse_number(F.col(name)) if is_text else numbers.finite(F.col(name))
+        typed[name] = numbers.parse_number(F.col(name)) if is_text else F.col(name).cast("double")
     if isinstance(df.schema[rules.date].dataType, T.StringType):
         typed[rules.date] = dates.parse_date(F.col(rules.date), rules.date_formats)
     else:
         typed[rules.date] = F.col(rules.date).cast("timestamp_ntz")
-    return df.withColumns(typed)
+    # a step of its own: in one expression each number would be parsed twice
+    return df.withColumns(typed).withColumns({c: numbers.finite(F.col(c)) for c in measures})
 
 
 def rejection_reason(rules: CleaningRules = RULES) -> Column:
     """Why a typed row is left out; null for a row that stays.
 
-    The amount is compared with ``nanvl``-free doubles: ``convert_types`` has
-    already turned NaN, which Spark holds greater than any number, into null.
+    ``convert_types`` has already turned NaN, which Spark holds greater than
+    any number, into null.
     """
     positive = F.coalesce(F.col(rules.amount) > 0, F.lit(False))
     incomplete = F.lit(False)
@@ -86,6 +83,15 @@ def complete_sales(df: DataFrame, rules: CleaningRules = RULES) -> DataFrame:
     return df.na.drop(subset=list(rules.critical))
 
 
+def complete_texts(df: DataFrame, rules: CleaningRules = RULES) -> DataFrame:
+    """``complete_sales`` for the text columns alone, for use ahead of text cleaning.
+
+    Cleaning never makes a text null nor a null a text, so this leaves out the
+    same rows; done afterwards, each text would be cleaned once more to test it.
+    """
+    return df.na.drop(subset=[c for c in rules.critical if c in rules.text])
+
+
 def apply_business_rules(df: DataFrame, rules: CleaningRules = RULES) -> DataFrame:
     return df.transform(positive_sales, rules).transform(complete_sales, rules)
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_SLICES = 200
+_MARGIN = 0.002  # half the width, as a share of the rows, of the slice around each quantile
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
@@ -55,22 +55,27 @@ def value_frequencies(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def exact_quantiles(frequencies: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
     """Exact quantiles, interpolated between neighbours: columns ``probability``, ``quantile``.
 
-    Takes ``value_frequencies``. Spark's ``percentile`` gathers all distinct
-    values in one task; here they are cut into slices at approximate quantiles.
-    The slice totals tell which slice holds each wanted position, and positions
-    are then found by a running count inside those slices. The approximation
-    only balances the slices; the result does not depend on it.
+    Spark's ``percentile`` gathers all distinct values in one task. Here an
+    approximate quantile on either side of each wanted one cuts the values into
+    slices: narrow ones where the quantiles are expected, wide ones between.
+    Slice totals tell which slice really holds each position, and a running
+    count over the values of those slices finds it. The approximation only
+    decides how much there is to run over; the result does not depend on it.
     """
-    cuts = [i / _SLICES for i in range(1, _SLICES)]
-    edges = frequencies.select(F.percentile_approx("value", cuts, 10000)).scalar()
-    below = F.filter("edges", lambda edge: edge < F.col("value"))
-    sliced = frequencies.withColumn("edges", edges).select(
-        "value", "rows", F.size(below).alias("slice")
+    cuts = sorted({min(max(p + m, 0.0), 1.0) for p in probabilities for m in (-_MARGIN, _MARGIN)})
+    edges = df.select(F.percentile_approx(column, cuts, 10000)).scalar()
+    slice_number = F.lit(0)
+    for i in range(len(cuts)):
+        slice_number = slice_number + F.when(F.col("value") > F.col("edges")[i], 1).otherwise(0)
+    sliced = (
+        value_frequencies(df, column)
+        .withColumn("edges", edges)
+        .select("value", "rows", slice_number.alias("slice"))
     )
-    # at most _SLICES rows, so the ungrouped windows are over a fixed number of rows
+    # one row for each slice, so the ungrouped windows run over a fixed number of rows
     upto = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
     everything = Window.partitionBy()
     totals = sliced.groupBy("slice").agg(F.sum("rows").alias("rows"))
@@ -116,7 +121,7 @@ def exact_quantiles(frequencies: DataFrame, probabilities: Sequence[float]) -> D
 def box_plot(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
     """Quartiles, fences at ``reach`` interquartile ranges, and the rows beyond them: one row."""
     frequencies = value_frequencies(df, column)
-    quartiles = exact_quantiles(frequencies, (0.25, 0.5, 0.75)).agg(
+    quartiles = exact_quantiles(df, column, (0.25, 0.5, 0.75)).agg(
         *[
             F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(name)
             for p, name in ((0.25, "q1"), (0.5, "mediana"), (0.75, "q3"))

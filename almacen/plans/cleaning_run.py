@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,16 +14,26 @@ from almacen.sources import files
 RULES = c.RULES
 
 
-def prepare(raw: DataFrame, rules: CleaningRules = RULES) -> DataFrame:
-    """Names, text, case and types; the input of the business rules and of the audit."""
+def _standardise(named: DataFrame, rules: CleaningRules) -> DataFrame:
     return (
-        raw.transform(c.normalise_names)
-        .transform(c.clean_text_columns, rules)
+        named.transform(c.clean_text_columns, rules)
         .transform(c.standardise_case, rules)
         .transform(c.convert_types, rules)
     )
 
 
+def prepare(raw: DataFrame, rules: CleaningRules = RULES) -> DataFrame:
+    """Names, text, case and types; the input of the business rules and of the audit."""
+    return _standardise(c.normalise_names(raw), rules)
+
+
+def kept(raw: DataFrame, rules: CleaningRules = RULES) -> DataFrame:
+    """The prepared rows that pass the business rules."""
+    named = raw.transform(c.normalise_names).transform(c.complete_texts, rules)
+    typed_rules = replace(rules, critical=tuple(x for x in rules.critical if x not in rules.text))
+    return _standardise(named, rules).transform(c.apply_business_rules, typed_rules)
+
+
 def clean(raw: DataFrame, rules: CleaningRules = RULES) -> DataFrame:
     """The whole cleaning as one lazy plan with one shuffle, that of the duplicates.
 
@@ -30,8 +42,7 @@ def clean(raw: DataFrame, rules: CleaningRules = RULES) -> DataFrame:
     before a missing customer type gets its default.
     """
     return (
-        prepare(raw, rules)
-        .transform(c.apply_business_rules, rules)
+        kept(raw, rules)
         .transform(c.remove_duplicates)
         .transform(c.derive_columns, rules)
         .transform(c.fill_nulls, rules)
