@@ -26,7 +26,7 @@ def _sales(select: str) -> str:
 
 def _by_channel(d: Derived) -> DataFrame:
     """Sales and rows of each sales channel."""
-    sums = d.star.fact_ventas.groupBy("id_cliente").agg(reports.TOTAL, reports.ROWS)
+    sums = d.star.fact_ventas.groupBy("id_cliente").agg(reports.total_of(), reports.rows_of())
     return (
         reports.label(sums, d.star, DIM_CLIENTE, "tipo_venta")
         .groupBy("tipo_venta")
@@ -35,7 +35,7 @@ def _by_channel(d: Derived) -> DataFrame:
 
 
 def _by_city(d: Derived) -> DataFrame:
-    sums = reports.sums_by_place(d.star, ["pais", "ciudad"], reports.TOTAL, reports.ROWS)
+    sums = reports.sums_by_place(d.star, ["pais", "ciudad"], reports.total_of(), reports.rows_of())
     return sums.groupBy("pais", "ciudad").agg(
         F.sum("total").alias("ventas"), F.sum("n").alias("filas")
     )

@@ -28,11 +28,14 @@ def finite(c: Column) -> Column:
 
 def to_decimal(c: Column, kind: T.DecimalType, name: str) -> Column:
     """Cast to the storage type, half away from zero; a value that does not fit is an error."""
-    value = c.try_cast(kind)
-    message = F.concat(F.lit(f"{name} does not fit {kind.simpleString()}: "), c.cast("string"))
-    return F.when(c.isNull() | value.isNotNull(), value).otherwise(
-        F.raise_error(message).cast(kind)
-    )
+    return cast_or_fail(c, kind, f"{name} does not fit {kind.simpleString()}")
+
+
+def cast_or_fail(c: Column, kind: T.DataType, complaint: str) -> Column:
+    """A cast that fails with the complaint and the value, whether or not ANSI mode is on."""
+    message = F.concat(F.lit(f"{complaint}: "), c.cast("string"))
+    failure = F.when(c.isNotNull(), F.raise_error(message).cast(kind))
+    return F.coalesce(c.try_cast(kind), failure)
 
 
 def ratio_2dp(numerator: Column, denominator: Column) -> Column:

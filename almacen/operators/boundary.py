@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from almacen import schemas
+from almacen.functions.numbers import cast_or_fail
 from almacen.functions.text import blank_to_null
 from almacen.model import NA_TOKENS, REQUIRED_COLUMNS
 
@@ -31,12 +32,7 @@ def type_clean_columns(df: DataFrame, schema: T.StructType = schemas.CLEAN) -> D
     typed = {}
     for f in schema.fields:
         if f.name in df.columns and df.schema[f.name].dataType != f.dataType:
-            value = F.col(f.name)
-            cast = value.try_cast(f.dataType)
-            message = F.concat(F.lit(f"unreadable {f.name}: "), value.cast("string"))
-            typed[f.name] = F.when(value.isNull() | cast.isNotNull(), cast).otherwise(
-                F.raise_error(message).cast(f.dataType)
-            )
+            typed[f.name] = cast_or_fail(F.col(f.name), f.dataType, f"unreadable {f.name}")
     return df.withColumns(typed)
 
 

@@ -11,7 +11,7 @@ from almacen.functions.numbers import mean_2dp
 from almacen.model import DIM_CLIENTE, DIM_FECHA, DIM_REGION
 from almacen.operators import distribution
 from almacen.plans import reports
-from almacen.plans.reports import ROWS, TOTAL
+from almacen.plans.reports import rows_of, total_of
 from almacen.sources.warehouse import Star
 
 # A heat map has one column for each category; more than this is no heat map.
@@ -30,7 +30,7 @@ def sales_box_plot(star: Star) -> DataFrame:
 
 def sales_by_country(star: Star) -> DataFrame:
     """E3: sales and transactions of each country."""
-    sums = reports.sums_by_place(star, ["pais"], TOTAL, ROWS)
+    sums = reports.sums_by_place(star, ["pais"], total_of(), rows_of())
     return (
         sums.groupBy("pais")
         .agg(F.sum("total").alias("ventas"), F.sum("n").alias("transacciones"))
@@ -80,10 +80,10 @@ def country_category_matrix(star: Star, columns: Sequence[str] | None = None) ->
 
 def key_figures(star: Star) -> DataFrame:
     """K1: total sales, mean ticket, units and countries, one row."""
-    sums = reports.sums_by_place(star, ["pais"], TOTAL, ROWS, F.sum("cantidad").alias("cantidad"))
-    countries = sums.groupBy("pais").agg(TOTAL, F.sum("n").alias("n"), F.sum("cantidad").alias("c"))
+    sums = reports.sums_by_place(star, ["pais"], total_of(), rows_of(), F.sum("cantidad").alias("cantidad"))
+    countries = sums.groupBy("pais").agg(total_of(), F.sum("n").alias("n"), F.sum("cantidad").alias("c"))
     return countries.agg(
-        TOTAL, F.sum("n").alias("n"), F.sum("c").alias("c"), F.count("pais").alias("paises")
+        total_of(), F.sum("n").alias("n"), F.sum("c").alias("c"), F.count("pais").alias("paises")
     ).select(
         F.col("total").alias("ventas_totales"),
         mean_2dp(F.col("total"), F.col("n")).alias("ticket_promedio"),
@@ -94,7 +94,7 @@ def key_figures(star: Star) -> DataFrame:
 
 def revenue_by_segment(star: Star) -> DataFrame:
     """K2: the customer segments and their revenue."""
-    sums = star.fact_ventas.groupBy("id_cliente").agg(TOTAL, ROWS)
+    sums = star.fact_ventas.groupBy("id_cliente").agg(total_of(), rows_of())
     return (
         reports.label(sums, star, DIM_CLIENTE, "segmento_cliente")
         .groupBy("segmento_cliente")
@@ -104,11 +104,11 @@ def revenue_by_segment(star: Star) -> DataFrame:
 
 def sales_trend(star: Star) -> DataFrame:
     """K3: sales by year and, below each year, by month; the first row is the total."""
-    sums = star.fact_ventas.groupBy("id_fecha").agg(TOTAL, ROWS)
+    sums = star.fact_ventas.groupBy("id_fecha").agg(total_of(), rows_of())
     months = (
         reports.label(sums, star, DIM_FECHA, "year", "year_month")
         .groupBy("year", "year_month")
-        .agg(TOTAL, F.sum("n").alias("n"))
+        .agg(total_of(), F.sum("n").alias("n"))
     )
     return (
         months.rollup("year", "year_month")
@@ -123,7 +123,7 @@ def sales_trend(star: Star) -> DataFrame:
 
 def top_clients(star: Star, limit: int = 5) -> DataFrame:
     """K4: the customer profiles with the most sales, by their labels."""
-    sums = star.fact_ventas.groupBy("id_cliente").agg(TOTAL, ROWS)
+    sums = star.fact_ventas.groupBy("id_cliente").agg(total_of(), rows_of())
     columns = ["tipo_cliente", "segmento_cliente", "tipo_venta", "id_region"]
     labelled = reports.label(sums, star, DIM_CLIENTE, *columns)
     return (

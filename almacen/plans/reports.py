@@ -37,8 +37,12 @@ def _sum(name: str) -> Column:
     return F.sum(name).alias(name)
 
 
-ROWS = F.count(F.lit(1)).alias("n")
-TOTAL = _sum("total")
+def rows_of() -> Column:
+    return F.count(F.lit(1)).alias("n")
+
+
+def total_of() -> Column:
+    return _sum("total")
 
 
 def label(rows: DataFrame, star: Star, dimension: Dimension, *columns: str) -> DataFrame:
@@ -68,8 +72,8 @@ def sums_by_country_and_category(star: Star, with_discount: bool = False) -> Dat
     country and product id, so that only sums go through the join.
     """
     columns = ["total", "descuento"] if with_discount else ["total"]
-    first = [TOTAL, ROWS]
-    again = [TOTAL, _sum("n")]
+    first = [total_of(), rows_of()]
+    again = [total_of(), _sum("n")]
     if with_discount:
         first += [_sum("descuento"), F.count("descuento").alias("n_descuento")]
         again += [_sum("descuento"), _sum("n_descuento")]
@@ -85,14 +89,14 @@ def sums_by_country_and_category(star: Star, with_discount: bool = False) -> Dat
 def sums_by_country_and_product(star: Star) -> DataFrame:
     """Total by country and product; the join sees one row for each such pair."""
     rows = _by_country_and_product(star, "total")
-    sums = rows.groupBy("pais", "id_producto").agg(TOTAL)
+    sums = rows.groupBy("pais", "id_producto").agg(total_of())
     return label(sums, star, DIM_PRODUCTO, "producto", "tipo_producto")
 
 
 def sums_by_customer_type(star: Star) -> DataFrame:
-    sums = star.fact_ventas.groupBy("id_cliente").agg(TOTAL, ROWS)
+    sums = star.fact_ventas.groupBy("id_cliente").agg(total_of(), rows_of())
     labelled = label(sums, star, DIM_CLIENTE, "tipo_cliente", "segmento_cliente")
-    return labelled.groupBy("tipo_cliente", "segmento_cliente").agg(TOTAL, _sum("n"))
+    return labelled.groupBy("tipo_cliente", "segmento_cliente").agg(total_of(), _sum("n"))
 
 
 def sums_by_product(star: Star, *measures: Column) -> DataFrame:
@@ -101,20 +105,20 @@ def sums_by_product(star: Star, *measures: Column) -> DataFrame:
 
 
 def sums_by_category(star: Star) -> DataFrame:
-    return sums_by_product(star, TOTAL).groupBy("tipo_producto").agg(TOTAL)
+    return sums_by_product(star, total_of()).groupBy("tipo_producto").agg(total_of())
 
 
 def sums_by_period(star: Star, *period: str) -> DataFrame:
-    sums = star.fact_ventas.groupBy("id_fecha").agg(TOTAL)
-    return label(sums, star, DIM_FECHA, *period).groupBy(*period).agg(TOTAL)
+    sums = star.fact_ventas.groupBy("id_fecha").agg(total_of())
+    return label(sums, star, DIM_FECHA, *period).groupBy(*period).agg(total_of())
 
 
 def sales_by_region(star: Star) -> DataFrame:
     """Q1: transactions, sales and mean sale of each city."""
-    sums = sums_by_place(star, ["pais", "ciudad"], TOTAL, ROWS)
+    sums = sums_by_place(star, ["pais", "ciudad"], total_of(), rows_of())
     return (
         sums.groupBy("pais", "ciudad")
-        .agg(TOTAL, _sum("n"))
+        .agg(total_of(), _sum("n"))
         .select(
             "pais",
             "ciudad",
@@ -128,7 +132,7 @@ def sales_by_region(star: Star) -> DataFrame:
 
 def top_products(star: Star, limit: int = 5) -> DataFrame:
     """Q2: the products with the most sales; equal sales in name order."""
-    sums = sums_by_product(star, TOTAL, ROWS, _sum("cantidad"), _sum("precio_unitario"))
+    sums = sums_by_product(star, total_of(), rows_of(), _sum("cantidad"), _sum("precio_unitario"))
     return sums.select(
         "producto",
         F.col("tipo_producto").alias("category"),
@@ -264,7 +268,7 @@ def revenue_rollup(star: Star) -> DataFrame:
     levels = (
         sums_by_country_and_category(star)
         .rollup("pais", "tipo_producto")
-        .agg(TOTAL, _sum("n"), F.grouping_id().alias("level"))
+        .agg(total_of(), _sum("n"), F.grouping_id().alias("level"))
     )
     everything, country = F.col("level") == 3, F.col("level") >= 1
     return (
@@ -307,7 +311,7 @@ def discount_impact(star: Star) -> DataFrame:
     """Q13: discounted against full-price sales; a missing discount counts as none."""
     kind = F.when(F.col("descuento") > 0, DISCOUNTED_LABEL).otherwise(FULL_PRICE_LABEL)
     sums = star.fact_ventas.groupBy(kind.alias("sale_type")).agg(
-        ROWS, TOTAL, _sum("descuento"), F.count("descuento").alias("n_descuento")
+        rows_of(), total_of(), _sum("descuento"), F.count("descuento").alias("n_descuento")
     )
     return sums.select(
         "sale_type",
@@ -320,10 +324,10 @@ def discount_impact(star: Star) -> DataFrame:
 
 def shipping_share(star: Star) -> DataFrame:
     """Q14: shipping cost as a share of revenue in each country."""
-    sums = sums_by_place(star, ["pais"], TOTAL, _sum("costo_envio"))
+    sums = sums_by_place(star, ["pais"], total_of(), _sum("costo_envio"))
     return (
         sums.groupBy("pais")
-        .agg(TOTAL, _sum("costo_envio"))
+        .agg(total_of(), _sum("costo_envio"))
         .select(
             "pais",
             F.col("costo_envio").alias("total_shipping"),

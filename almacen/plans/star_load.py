@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from almacen import schemas
 from almacen.model import DIM_CLIENTE, DIM_FECHA, DIM_PRODUCTO, DIM_REGION, FACT_TABLE
@@ -38,13 +39,24 @@ def incoming(clean: DataFrame) -> DataFrame:
     )
 
 
-def _load_profiles(sales: DataFrame, existing: Star | None, staging: Staging) -> DataFrame:
+def _distinct_keys(sales: DataFrame) -> DataFrame:
+    """The distinct profiles, products and dates of the sales, told apart by ``kind``.
+
+    One pass over the sales finds the members of all dimensions: the three
+    groupings are aggregated side by side and collapse on the map side.
+    """
+    calendar = [*DIM_FECHA.natural_key, *DIM_FECHA.attributes]
+    product = list(DIM_PRODUCTO.natural_key)
+    groups = sales.groupingSets([_PROFILE, product, calendar], *_PROFILE, *product, *calendar)
+    kind = F.when(F.grouping("ciudad") == 0, "profile").when(F.grouping("producto") == 0, "product")
+    return groups.agg(kind.otherwise("date").alias("kind"))
+
+
+def _load_profiles(profiles: DataFrame, existing: Star | None, staging: Staging) -> DataFrame:
     """Write dim_region and dim_cliente; return the profile labels with their id_cliente.
 
-    Both dimensions come from the distinct profiles, which are far fewer than
-    the sales: the sales are aggregated once and joined once for the two.
+    Both come from the profiles, so the sales are joined once for the two.
     """
-    profiles = staging.write("profiles", sales.select(*_PROFILE).dropDuplicates())
     with_region = dimensions.load_dimension(
         profiles, existing and existing.dim_region, DIM_REGION, staging
     )
@@ -56,12 +68,15 @@ def _load_profiles(sales: DataFrame, existing: Star | None, staging: Staging) ->
 
 def with_ids(sales: DataFrame, existing: Star | None, staging: Staging) -> DataFrame:
     """Load the four dimensions and add their ids to the sales."""
-    profiles = _load_profiles(sales, existing, staging)
-    few = fits(staging.rows["profile_ids"], profiles.schema, _PROFILE_LENGTHS)
-    identified = join_dimension(sales, profiles, _PROFILE, few, "left")
-    for dimension in (DIM_PRODUCTO, DIM_FECHA):
+    keys = staging.write("keys", _distinct_keys(sales))
+    profiles = keys.filter(keys.kind == "profile").select(*_PROFILE)
+    profile_ids = _load_profiles(profiles, existing, staging)
+    few = fits(staging.rows["profile_ids"], profile_ids.schema, _PROFILE_LENGTHS)
+    identified = join_dimension(sales, profile_ids, _PROFILE, few, "left")
+    for kind, dimension in (("product", DIM_PRODUCTO), ("date", DIM_FECHA)):
+        found = keys.filter(keys.kind == kind)
         known = existing and existing.table(dimension.table)
-        table = dimensions.load_members(sales, known, dimension, staging)
+        table = dimensions.load_members(found, known, dimension, staging)
         small = staging.is_small(dimension.table)
         identified = dimensions.lookup_id(identified, table, dimension, small)
     return identified
@@ -70,8 +85,8 @@ def with_ids(sales: DataFrame, existing: Star | None, staging: Staging) -> DataF
 def load_star(clean: DataFrame, warehouse: Warehouse, check_fact: bool = True) -> LoadResult:
     """Merge the dimensions, replace the fact, check, publish.
 
-    ``clean`` is read once for each dimension and once for the fact; give it
-    as a stored dataset, not as the plan that cleans it. Members already known
+    ``clean`` is read twice, for the dimensions and for the fact; give it as a
+    stored dataset, not as the plan that cleans it. Members already known
     keep their ids and stay, also when no sale names them any more.
     """
     existing = warehouse.read()

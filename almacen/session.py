@@ -12,6 +12,9 @@ SETTINGS = {
     # projection is larger when generated as one method; over this limit Spark
     # generates it as many small ones instead, which halves its run time.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Recording the Python line of every column expression costs more than the
+    # planning of these queries; switch it on to debug.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
