@@ -43,7 +43,8 @@ def clean_text(c: str) -> str:
 
 def title(c: str) -> str:
     runs = rf"regexp_extract_all({c}, '[\p{{Lu}}\p{{Ll}}\p{{Lt}}]+|[^\p{{Lu}}\p{{Ll}}\p{{Lt}}]+')"
-    return f"array_to_string(list_transform({runs}, lambda w: if(w[1] = 'ß', 'Ss', upper(w[1])) || lower(w[2:])), '')"
+    first = "if(w[1] = 'ß', 'Ss', upper(w[1]))"
+    return f"array_to_string(list_transform({runs}, lambda w: {first} || lower(w[2:])), '')"
 
 
 _NA = (
