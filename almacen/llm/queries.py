@@ -22,3 +22,8 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric_join.metric_components(_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op3_exact_dedup, op6_jaccard_join, op7_embedding_dedup)}
+
+SQL: dict[str, str] = {}
