@@ -6,6 +6,7 @@ import pytest
 from compare import difference, duck
 
 import __spark_entry__ as entry_points
+from almacen.checks.catalog import CHECKS
 
 SF_DIR = "/root/testdata/sf0.001"
 ORACLE = entry_points.oracle_sql()
@@ -16,7 +17,7 @@ def connection():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("key", entry_points.queries())
+@pytest.mark.parametrize("key", CHECKS)
 def test_query_matches_sql(spark, connection, key):
     result = entry_points.queries()[key](spark, SF_DIR)
     assert difference(result, connection, ORACLE[key]) is None
