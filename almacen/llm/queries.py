@@ -2,20 +2,59 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almacen.llm import exact_dedup, jaccard_join, metric_join
+from almacen.llm import (
+    bpe,
+    chat_format,
+    class_lm,
+    exact_dedup,
+    jaccard_join,
+    language_id,
+    licenses,
+    metric_join,
+    mixing,
+    sharding,
+    sql,
+)
+
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _remainder(of: int):
+    """crc32 of the doc_id as text (null: empty), modulo ``of``."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % of
+
+
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(_table(spark, sf_dir, "documents"))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = _remainder(4) == 2
+    models = language_id.train(docs.filter(~held_out))
+    found = language_id.identify(docs, models)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.render(_table(spark, sf_dir, "conversations"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
@@ -24,6 +63,55 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metric_join.metric_components(_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op6_jaccard_join, op7_embedding_dedup)}
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens(spark, _table(spark, sf_dir, "documents"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Digests of the token ids and of the decoded bytes."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    tokenizer = bpe.ByteBpe(spark, path, public_tokenizers.PATTERN)
+    found = tokenizer.decode(tokenizer.encode(docs))
+    return found.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = _remainder(7) == 2
+    found = class_lm.score_texts(docs, ~held_out)
+    return found.withColumn("held_out", held_out)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_sharding,
+        op2_mixing,
+        op3_exact_dedup,
+        op4_language_id,
+        op5_chat_format,
+        op6_jaccard_join,
+        op7_embedding_dedup,
+        op8_byte_bpe,
+        op9_license_scan,
+        op10_lm_scoring,
+    )
+}
 
-SQL: dict[str, str] = {}
+SQL = {
+    "op2_mixing": sql.MIXING,
+    "op3_exact_dedup": sql.EXACT_DEDUP,
+    "op5_chat_format": sql.CHAT_FORMAT,
+    "op6_jaccard_join": sql.JACCARD_JOIN,
+    "op7_embedding_dedup": sql.EMBEDDING_DEDUP,
+    "op9_license_scan": sql.LICENSES,
+}
