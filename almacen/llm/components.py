@@ -28,23 +28,20 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return least.union(moved).toDF("a", "b")
 
 
-def _mark(edges: DataFrame) -> tuple:
-    of_all = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-    return tuple(edges.agg(F.count("*"), of_all).first())
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node in ``edges(a, b)``; component is its smallest node.
 
     Edges with a null end and loops are ignored; repeated edges count once. No
     edges give no rows.
     """
-    edges = stored(edges.select("a", "b").filter("a != b").distinct(), "edges")
-    mark = _mark(edges)
+    edges = edges.select("a", "b").filter("a != b")
     while True:
         edges = stored(_small_star(_large_star(edges)).distinct(), "edges")
-        previous, mark = mark, _mark(edges)
-        if mark == previous:
+        # Done when every node leads to one other, and that one leads nowhere.
+        up = edges.groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high"))
+        inner = up.select(F.col("a").alias("inner"))
+        left = up.join(inner, F.col("high") == F.col("inner"), "left")
+        if left.filter("low != high or inner is not null").isEmpty():
             break
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)

@@ -37,10 +37,12 @@ N = 5
 PERCENT = 80
 #: Cells of the table that ranks n-grams by how common they are. It only decides
 #: the order of the columns; the result does not depend on it.
-RANK_CELLS = 1 << 20
+RANK_CELLS = 1 << 22
 _RANK_PARTS = 256
-#: The last round may look at so many pairs for each entry of the columns.
-_PAIRS_PER_ENTRY = 4
+#: The last round may look at so many pairs for each entry of the columns; it comes
+#: sooner when a round of hubs leaves more than LITTLE of the pairs.
+_PAIRS_PER_ENTRY = 8
+_LITTLE = 0.8
 _HUB_ROUNDS = 8
 
 
@@ -52,13 +54,14 @@ def _needed(size, percent: int):
 def _counted(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
     """How often the n-grams of each cell occur, in parts of the table."""
     shift = np.uint64(64 - (RANK_CELLS.bit_length() - 1))
-    cells = np.zeros(RANK_CELLS, dtype=np.int64)
+    cells = np.zeros(RANK_CELLS, dtype=np.int32)
     for batch in batches:
         for _, all_words, bounds in words.of_texts(batch.column(0)):
             for i, j in zip(bounds[:-1], bounds[1:]):
                 grams = words.shingles(all_words[i:j], n) >> shift
                 np.add.at(cells, grams.astype(np.int64), 1)
-    parts = [zlib.compress(p.tobytes(), 1) for p in np.split(cells, _RANK_PARTS)]
+    parts = np.split(cells.astype(np.int64), _RANK_PARTS)
+    parts = [zlib.compress(p.tobytes(), 1) for p in parts]
     yield pa.RecordBatch.from_pydict(
         {"part": pa.array(range(_RANK_PARTS), pa.int32()), "cells": pa.array(parts, pa.binary())}
     )
@@ -72,7 +75,7 @@ def _summed(parts: pd.DataFrame) -> pd.DataFrame:
 
 
 def _ranks(docs: DataFrame, n: int) -> np.ndarray:
-    """For each cell the binary logarithm of its count: 1 MB, whatever the input."""
+    """For each cell eight times the binary logarithm of its count: 4 MB, whatever the input."""
     kind = "part int, cells binary"
     counted = docs.select("text").mapInArrow(lambda b: _counted(b, n), kind)
     # Two levels of sums, so that no task adds up the tables of all others.
@@ -81,7 +84,7 @@ def _ranks(docs: DataFrame, n: int) -> np.ndarray:
     table = np.zeros((_RANK_PARTS, RANK_CELLS // _RANK_PARTS), dtype=np.int64)
     for row in rows.collect():
         table[row["part"]] = np.frombuffer(zlib.decompress(row["cells"]), dtype=np.int64)
-    return np.ceil(np.log2(table.ravel() + 1)).astype(np.uint8)
+    return np.minimum(np.ceil(8 * np.log2(table.ravel() + 1)), 255).astype(np.uint8)
 
 
 def _sets(batch: pa.RecordBatch, column: int, n: int) -> Iterator[np.ndarray]:
@@ -176,19 +179,38 @@ class _Matrix:
             "columns",
         )
 
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """Those of ``pairs(a, b)`` whose first columns overlap as much as links must.
+
+        The set whose first columns end sooner has all other shared n-grams after
+        them, so the overlap is at most what the first columns share plus the rest of
+        one of the sets.
+        """
+        shared = self.columns.groupBy("id", "n").agg(F.collect_list("gram").alias("grams"))
+        of_a = shared.select(*[F.col(c).alias(f"{c}_a") for c in shared.columns])
+        of_b = shared.select(*[F.col(c).alias(f"{c}_b") for c in shared.columns])
+        both = pairs.join(of_a, F.col("a") == F.col("id_a"))
+        both = both.join(of_b, F.col("b") == F.col("id_b"))
+        need, _ = _pair_bounds(self.percent)
+        largest = F.greatest("n_a", "n_b")
+        rest = F.floor((largest * self.percent + 99) / 100) - 1
+        seen = F.size(F.array_intersect("grams_a", "grams_b"))
+        return both.filter(seen + rest >= need).select("a", "b")
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs(a, b)`` that are links."""
         percent, n = self.percent, self.n
         pairs = stored(pairs, "pairs")
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        texts = self.docs.join(small_or_not(ids, 16), F.col("doc_id") == F.col("id"), "left_semi")
+        texts = self.docs.join(
+            small_or_not(stored(ids, "ids"), 16), F.col("doc_id") == F.col("id"), "left_semi"
+        )
         sets = texts.mapInArrow(lambda b: _grams(b, n), "id long, grams binary")
-        sets = stored(sets.dropDuplicates(), "grams")
+        sets = stored(sets, "grams")
         of_a = sets.select(F.col("id").alias("a"), F.col("grams").alias("grams_a"))
         of_b = sets.select(F.col("id").alias("b"), F.col("grams").alias("grams_b"))
         whole = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "grams_a", "grams_b")
-        found = whole.mapInArrow(lambda b: _verified(b, percent), "a long, b long")
-        return stored(found.distinct(), "links")
+        return whole.mapInArrow(lambda b: _verified(b, percent), "a long, b long")
 
     def hub_pairs(self, columns: DataFrame, turn: int) -> DataFrame:
         """Each row of a column with the column's hub, another one in each turn."""
@@ -205,7 +227,7 @@ class _Matrix:
             F.col("at").alias("at_b"),
         )
         _, possible = _pair_bounds(self.percent)
-        return met.filter(possible).select("a", "b").distinct()
+        return self.likely(met.filter(possible).select("a", "b").distinct())
 
     def all_pairs(self, columns: DataFrame) -> DataFrame:
         """Pairs of different components, by the overlap their columns add up to."""
@@ -262,16 +284,19 @@ def jaccard_components(
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     matrix = _Matrix(docs, n, percent)
     columns = matrix.columns.withColumn("component", F.col("id"))
-    found = None
+    found, before = None, None
     for turn in range(_HUB_ROUNDS + 1):
         entries, pairs = _pairs_left(columns)
         if not pairs:
             break
-        last = turn == _HUB_ROUNDS or pairs <= _PAIRS_PER_ENTRY * entries
+        little = before is not None and pairs > _LITTLE * before
+        last = little or turn == _HUB_ROUNDS or pairs <= _PAIRS_PER_ENTRY * entries
+        before = pairs
         new = matrix.links(
             matrix.all_pairs(columns) if last else matrix.hub_pairs(columns, turn)
         )
-        found = new if found is None else found.union(new)
+        new = stored(new if found is None else found.union(new), "links")
+        found = new
         labels = stored(components(found), "labels")
         if last:
             break
