@@ -170,14 +170,13 @@ class _Matrix:
         )
         first = first.dropDuplicates(["digest", "doc_id"])
         entries = first.select(F.col("doc_id").alias("id"), "n", F.posexplode("first"))
-        of_gram = F.count("*").over(Window.partitionBy("gram"))
-        self.columns = stored(
-            entries.select("id", "n", (F.col("pos") + 1).alias("at"), F.col("col").alias("gram"))
-            .withColumn("rows", of_gram)
-            .filter("rows > 1")
-            .drop("rows"),
-            "columns",
+        entries = stored(
+            entries.select("id", "n", (F.col("pos") + 1).alias("at"), F.col("col").alias("gram")),
+            "entries",
         )
+        # Counted and joined, not windowed: an n-gram of a third of all rows is no task of its own.
+        shared = entries.groupBy("gram").agg(F.count("*").alias("rows")).filter("rows > 1")
+        self.columns = stored(entries.join(shared.select("gram"), "gram", "left_semi"), "columns")
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs(a, b)`` whose first columns overlap as much as links must.

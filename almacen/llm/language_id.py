@@ -173,6 +173,8 @@ class Models:
     def of(cls, rows) -> Models:
         """From the rows of _train_language; probabilities of all languages are filled in."""
         langs = sorted({r["lang"] for r in rows})
+        if not langs:
+            return cls([], {}, {}, {}, np.zeros(0))
         given = {(r["lang"], r["k"]): r for r in rows}
         get = lambda lang, k, name, kind: np.frombuffer(given[lang, k][name], dtype=kind)
         hashes = {
@@ -331,9 +333,10 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     first = sizes.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_TEXTS)
     before = F.sum("size").over(Window.partitionBy("lang").orderBy("rank")) - F.col("size")
     first = first.withColumn("before", before).filter(F.col("before") < SAMPLE_CHARACTERS)
-    chosen = F.broadcast(first.select("key", "lang").distinct())
+    chosen = F.broadcast(first.groupBy("key", "lang").agg(F.min("rank").alias("rank")))
     sample = stored(given.join(chosen, ["key", "lang"]).dropDuplicates(["key", "lang"]), "sample")
-    calibrates = F.pmod(F.xxhash64("key", F.lit("calibrate")), F.lit(_CALIBRATE)) == 0
+    # By rank, so that the first text of every language is counted.
+    calibrates = F.col("rank") % _CALIBRATE == 0
     counted = sample.filter(~calibrates).groupBy("lang").applyInPandas(_train_language, _MODEL)
     models = Models.of(counted.collect())
     if models.langs:
@@ -374,3 +377,19 @@ def identify(docs: DataFrame, models: Models, key: str = "doc_id", text: str = "
         lambda b: _judged(b, shared), f"key {kind}, lang_pred string, score double, rejected boolean"
     )
     return found.withColumnRenamed("key", key)
+
+
+def _kept(batches, models, at: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rejected = [models.value.judged(t)[2] for t in batch.column(at).to_pylist()]
+        yield batch.filter(pa.array([not r for r in rejected], pa.bool_()))
+
+
+def accepted(docs: DataFrame, models: Models, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text is not rejected (see identify), with all their columns.
+
+    One pass without a join, so repeated rows and null keys are judged each by its text.
+    """
+    shared = prepared(docs.sparkSession).sparkContext.broadcast(models)
+    at = docs.columns.index(text)
+    return docs.mapInArrow(lambda b: _kept(b, shared, at), docs.schema)

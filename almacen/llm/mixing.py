@@ -38,6 +38,11 @@ def _random(key: str, text: str, seed: str):
     return (F.conv(digits, 16, 10).cast("long").cast("double") + 0.5) / float(1 << 52)
 
 
+def _size(text: str):
+    """Words of the text; null has none."""
+    return F.coalesce(F.regexp_count(F.col(text), F.lit(_WORDS)), F.lit(0)).cast("long")
+
+
 def _targets(sources: DataFrame, weights, share: float, most: int) -> DataFrame:
     """source_size and target of each source; ``sources`` has one row for each."""
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
@@ -106,7 +111,7 @@ def mix(
     rows = docs.select(
         F.col(key).alias("doc_id"),
         F.col(source).alias("source"),
-        F.coalesce(F.regexp_count(F.col(text), F.lit(_WORDS)), F.lit(0)).cast("long").alias("size"),
+        _size(text).alias("size"),
         _random(key, text, seed).alias("u"),
     )
     rows = stored(rows, "sizes")
@@ -201,12 +206,18 @@ def _taken(drawn: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """``docs`` as the mix takes them: rows of two copies come twice, rows of none go.
 
-    The columns are those of ``docs``; rows that share a key and a size share their
-    copies, the larger number of them. Rows with a null key go by key alone as well.
+    The columns are those of ``docs``; rows that share a key, a source and a size share
+    their copies, the larger number of them, and so do such rows with a null key.
     """
-    key = options.get("key", "doc_id")
-    taken = mix(docs, **options).filter("copies > 0").groupBy(F.col("doc_id").alias("_key"))
-    taken = taken.agg(F.max("copies").alias("_copies"))
-    rows = docs.join(small_or_not(stored(taken, "taken"), 24), F.col(key).eqNullSafe(F.col("_key")))
+    key, text = options.get("key", "doc_id"), options.get("text", "text")
+    source = options.get("source", "source")
+    taken = mix(docs, **options).filter("copies > 0")
+    taken = taken.groupBy(
+        F.col("doc_id").alias("_key"), F.col("source").alias("_source"), F.col("size").alias("_size")
+    ).agg(F.max("copies").alias("_copies"))
+    rows = docs.withColumn("_words", _size(text))
+    same = F.col(key).eqNullSafe(F.col("_key")) & F.col(source).eqNullSafe(F.col("_source"))
+    same = same & (F.col("_words") == F.col("_size"))
+    rows = rows.join(small_or_not(stored(taken, "taken"), 64), same)
     times = F.sequence(F.lit(1).cast("long"), F.col("_copies"))
     return rows.withColumn("_copy", F.explode(times)).select(*[F.col(f"`{c}`") for c in docs.columns])
