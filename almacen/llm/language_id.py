@@ -244,9 +244,12 @@ class Models:
         return total + self._backed_off(codes, places[~there], order - 1)
 
     def entropies(self, text: str | None) -> tuple[np.ndarray, int]:
-        """Cross-entropy per character by language, and the number of characters; 0 without letters."""
+        """Cross-entropy per character by language, and the number of characters.
+
+        The number is 0 for texts without letters, and where no language was learned.
+        """
         codes = folded(text or "")
-        if not (codes != 32).any():
+        if not self.langs or not (codes != 32).any():
             return np.zeros(len(self.langs)), 0
         codes = _padded(codes)
         total = np.zeros(len(self.langs))
