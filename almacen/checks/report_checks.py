@@ -232,7 +232,31 @@ _CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
     ),
 )
 def matrix(d: Derived) -> DataFrame:
-    return explore.country_category_matrix(d.star)
+    return explore.country_category_matrix(d.star, _CATEGORIES).drop("otras")
+
+
+@check(
+    "e06b_country_category_sales",
+    _sales(
+        f"""select pais, tipo_producto, {o.number("sum(total)", "total")}
+            from sales group by pais, tipo_producto"""
+    ),
+)
+def country_category_sales(d: Derived) -> DataFrame:
+    return explore.country_category_sales(d.star)
+
+
+@check(
+    "e06c_matrix_with_others",
+    _sales(
+        f"""select pais,
+                   {o.number("sum(case when tipo_producto = 'ECONOMY' then total end)", '"ECONOMY"')},
+                   {o.number("sum(case when tipo_producto <> 'ECONOMY' then total end)", "otras")}
+            from sales group by pais"""
+    ),
+)
+def matrix_with_others(d: Derived) -> DataFrame:
+    return explore.country_category_matrix(d.star, ["ECONOMY"])
 
 
 @check(

@@ -37,7 +37,7 @@ def _union(parts) -> DataFrame:
 
 def _with_region(d: Derived) -> DataFrame:
     sales = facts.day_grain(d.tidy)
-    return dimensions.lookup_id(sales, d.star.dim_region, DIM_REGION, True)
+    return dimensions.lookup_id(sales, d.star.dim_region, DIM_REGION, d.star.is_small("dim_region"))
 
 
 def _with_ids(sales: DataFrame, star: Star) -> DataFrame:

@@ -104,12 +104,20 @@ def union(checks: Sequence[DataFrame]) -> DataFrame:
 
 
 class ConstraintViolation(Exception):
-    """A load broke the constraints of the star schema."""
+    """A load broke the constraints of the star schema; ``path`` holds every violation."""
 
+    def __init__(self, message: str, path: str | None = None):
+        super().__init__(message)
+        self.path = path
 
-def enforce(violations: DataFrame, shown: int = 20) -> None:
-    """Raise when there is any violation, naming the first few."""
-    rows = violations.limit(shown).collect()
+
+def enforce(violations: DataFrame, path: str) -> None:
+    """Raise when there is any violation; all of them are written to ``path`` (Parquet)."""
+    violations.write.parquet(path)
+    stored = violations.sparkSession.read.schema(violations.schema).parquet(path)
+    kinds = stored.groupBy("tabla", "restriccion").agg(F.sum("filas").alias("filas"))
+    # One row for each constraint of the schema, whatever the data.
+    rows = kinds.orderBy("tabla", "restriccion").collect()
     if rows:
-        lines = [f"{r.tabla} {r.restriccion} {r.clave} ({r.filas} rows)" for r in rows]
-        raise ConstraintViolation("; ".join(lines))
+        lines = [f"{r.tabla} {r.restriccion} ({r.filas} rows)" for r in rows]
+        raise ConstraintViolation(f"{'; '.join(lines)}; all in {path}", path)

@@ -7,6 +7,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from almacen.functions.dates import parse_date
 from almacen.model import CleaningRules
 from almacen.operators import cleaning as c
 from almacen.sources import files
@@ -56,6 +57,15 @@ def rejected(raw: DataFrame, rules: CleaningRules = RULES) -> DataFrame:
     return prepare(raw, rules).withColumn("motivo", reason).filter(F.col("motivo").isNotNull())
 
 
+def _refuse_unreadable_dates(raw: DataFrame, rules: CleaningRules) -> None:
+    dates = c.normalise_names(raw).select(F.col(rules.date).alias("given"))
+    dates = dates.withColumn("read", parse_date(F.col("given"), rules.date_formats))
+    given, read = dates.agg(F.count("given"), F.count("read")).first()
+    if given and not read:
+        formats = ", ".join(rules.date_formats)
+        raise ValueError(f"all {given} values of {rules.date} are unreadable as {formats}")
+
+
 def run_cleaning(
     spark: SparkSession,
     raw_path: str,
@@ -64,9 +74,14 @@ def run_cleaning(
     multiline: bool = False,
     rejected_path: str | None = None,
 ) -> DataFrame:
-    """Clean the file at ``raw_path`` into ``clean_path`` and return the stored dataset."""
+    """Clean the file at ``raw_path`` into ``clean_path`` and return the stored dataset.
+
+    A file with dates of which none is in a declared format is an error.
+    """
     raw = files.load_raw(spark, raw_path, multiline, rules.na_tokens)
     files.export_clean(clean(raw, rules), clean_path)
+    if spark.read.parquet(clean_path).isEmpty():
+        _refuse_unreadable_dates(raw, rules)
     if rejected_path:
         rejected(raw, rules).write.mode("overwrite").parquet(rejected_path)
     return spark.read.parquet(clean_path)

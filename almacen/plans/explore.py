@@ -14,9 +14,6 @@ from almacen.plans import reports
 from almacen.plans.reports import rows_of, total_of
 from almacen.sources.warehouse import Star
 
-# A heat map has one column for each category; more than this is no heat map.
-_MOST_CATEGORIES = 1000
-
 
 def sales_histogram(star: Star, bins: int = 20) -> DataFrame:
     """E1: sales amounts in equal-width bins."""
@@ -57,23 +54,25 @@ def top_segments(star: Star, limit: int = 10) -> DataFrame:
     return revenue_by_segment(star).orderBy(F.desc("ventas"), "segmento_cliente").limit(limit)
 
 
-def categories(star: Star) -> list[str]:
-    """The category names, for the columns of the heat map."""
-    names = star.dim_producto.select("tipo_producto").dropDuplicates()
-    found = [row.tipo_producto for row in names.limit(_MOST_CATEGORIES + 1).collect()]
-    if len(found) > _MOST_CATEGORIES:
-        raise ValueError(f"more than {_MOST_CATEGORIES} categories")
-    return sorted(found)
+def country_category_sales(star: Star) -> DataFrame:
+    """E6 in long form: sales by country and category, however many there are."""
+    return reports.sums_by_country_and_category(star).select("pais", "tipo_producto", "total")
+
 
+def country_category_matrix(star: Star, columns: Sequence[str], others: str = "otras") -> DataFrame:
+    """E6: sales by country (rows) and the given categories (columns); null where there is none.
 
-def country_category_matrix(star: Star, columns: Sequence[str] | None = None) -> DataFrame:
-    """E6: sales by country (rows) and category (columns); null where there is none."""
-    names = list(columns) if columns is not None else categories(star)
+    Sales of every other category, and of none, are summed in the column ``others``.
+    """
+    if others in columns:
+        raise ValueError(f"{others} names a category")
+    category, total = F.col("tipo_producto"), F.col("total")
+    sums = [F.sum(F.when(category == c, total)).alias(c) for c in columns]
+    given = F.coalesce(category.isin(*columns), F.lit(False))
     return (
-        reports.sums_by_country_and_category(star)
+        country_category_sales(star)
         .groupBy("pais")
-        .pivot("tipo_producto", names)
-        .agg(F.sum("total"))
+        .agg(*sums, F.sum(F.when(~given, total)).alias(others))
         .orderBy("pais")
     )
 

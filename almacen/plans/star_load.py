@@ -98,7 +98,7 @@ def load_star(clean: DataFrame, warehouse: Warehouse, check_fact: bool = True) -
     checks = constraints.dimension_violations(star)
     if check_fact:
         checks += constraints.fact_violations(star, row_ids=False)
-    constraints.enforce(constraints.union(checks))
+    constraints.enforce(constraints.union(checks), f"{staging.folder}/violations")
     return LoadResult(warehouse.publish(staging), star.rows)
 
 

@@ -2,23 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from almacen.functions.text import blank_to_null
 from almacen.model import NA_TOKENS
 
 
-def _read_csv(spark: SparkSession, path: str, multiline: bool, na_tokens) -> DataFrame:
-    rows = (
+_LINE = "_line"
+#: A cell in quotes, from where it starts.
+_QUOTED = r'(^|,)\s*"([^"]|"")*"'
+
+
+def _cells_of(spark: SparkSession, path: str, multiline: bool) -> tuple[DataFrame, list[str]]:
+    """The cells by position, the raw line where their number is not the header's, and the header."""
+    reader = (
         spark.read.option("header", True)
-        .option("inferSchema", False)
         .option("encoding", "UTF-8")
         .option("escape", '"')
         .option("multiLine", multiline)
-        .csv(path)
     )
-    return rows.select(*[blank_to_null(F.col(f"`{c}`"), na_tokens).alias(c) for c in rows.columns])
+    header = reader.option("inferSchema", False).csv(path).columns
+    fields = [T.StructField(f"_{i}", T.StringType()) for i in range(len(header))]
+    schema = T.StructType([*fields, T.StructField(_LINE, T.StringType())])
+    return reader.option("columnNameOfCorruptRecord", _LINE).schema(schema).csv(path), header
+
+
+def _malformed(columns: int, multiline: bool) -> Column:
+    """Whether a line has more cells than the header, or a quote that it does not close."""
+    outside = F.regexp_replace(F.coalesce(F.col(_LINE), F.lit("")), _QUOTED, "$1")
+    extra = F.length(outside) - F.length(F.replace(outside, F.lit(","))) >= columns
+    odd = lambda c: F.regexp_count(c, F.lit('"')) % 2 == 1
+    # A cell left open at the end of a complete line shows in the next one, which closes it.
+    bad = extra if multiline else extra | odd(F.coalesce(F.col(_LINE), F.lit("")))
+    # Always true; it keeps all cells in the scan, which counts those it is asked for only.
+    return bad & (F.length(F.concat_ws("", *[f"_{i}" for i in range(columns)])) >= 0)
+
+
+def malformed_lines(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """The lines that ``load_raw`` refuses, each as raw text."""
+    rows, header = _cells_of(spark, path, multiline)
+    return rows.filter(_malformed(len(header), multiline)).select(F.col(_LINE).alias("linea"))
+
+
+def _read_csv(spark: SparkSession, path: str, multiline: bool, na_tokens) -> DataFrame:
+    rows, header = _cells_of(spark, path, multiline)
+    message = F.concat(F.lit("malformed line: "), F.col(_LINE))
+    refused = F.when(_malformed(len(header), multiline), F.raise_error(message).cast("boolean"))
+    rows = rows.filter(F.coalesce(refused, F.lit(True)))
+    cells = [blank_to_null(F.col(f"_{i}"), na_tokens).alias(c) for i, c in enumerate(header)]
+    return rows.select(*cells)
 
 
 def load_raw(
@@ -29,6 +63,10 @@ def load_raw(
     Set ``multiline`` only when quoted cells hold line breaks: Spark cannot
     split such files, so each one is read by a single task. Without it a large
     file is cut into ``spark.sql.files.maxPartitionBytes`` pieces.
+
+    Lines with fewer cells than the header are padded with nulls. More cells, or
+    (without ``multiline``) a quote that the line leaves open, stop the job that
+    reads them; ``malformed_lines`` lists all of them.
     """
     return _read_csv(spark, path, multiline, na_tokens)
 

@@ -27,7 +27,7 @@ from almacen.sources.warehouse import Warehouse
 EXPLORE = {
     "e01_sales_histogram": explore.sales_histogram,
     "e02_sales_box_plot": explore.sales_box_plot,
-    "e06_country_category_matrix": explore.country_category_matrix,
+    "e06_country_category_sales": explore.country_category_sales,
     "k01_key_figures": explore.key_figures,
     "k03_sales_trend": explore.sales_trend,
     "k04_top_clients": explore.top_clients,

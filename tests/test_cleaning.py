@@ -202,6 +202,38 @@ def test_csv_cells(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize(
+    "line", ["2024-01-02,pan,6,extra", "2024-01-02,pan,6,", '2024-01-03,"a\nb",7', '2024-01-03,7,"a\nb"']
+)
+def test_malformed_lines_are_an_error_and_listed(spark, tmp_path, line):
+    path = tmp_path / "raw.csv"
+    path.write_text(f'a,b`x,c\n1,"x,y",2\n{line}\nshort\n', encoding="utf-8")
+    assert files.malformed_lines(spark, str(path)).count() >= 1
+    with pytest.raises(Exception, match="malformed line"):
+        files.load_raw(spark, str(path)).select("a").collect()
+
+
+def test_short_lines_are_padded(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    path.write_text('a,b`x,c\n1,"x,y",2\nshort\n1,"a,b"\n', encoding="utf-8")
+    rows = files.load_raw(spark, str(path))
+    assert rows.columns == ["a", "b`x", "c"]
+    assert sorted(map(tuple, rows.collect()), key=str) == [
+        ("1", "a,b", None),
+        ("1", "x,y", "2"),
+        ("short", None, None),
+    ]
+    assert files.malformed_lines(spark, str(path)).isEmpty()
+
+
+def test_a_file_of_unreadable_dates_is_an_error(spark, tmp_path):
+    header = ",".join(c.upper().replace("_", " ") for c in BASE)
+    line = ",".join({**BASE, "fecha": "15/01/2024"}.values())
+    (tmp_path / "raw.csv").write_text(f"{header}\n{line}\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="all 1 values of fecha are unreadable"):
+        cleaning_run.run_cleaning(spark, str(tmp_path / "raw.csv"), str(tmp_path / "clean"))
+
+
 def test_cleaning_run_from_file_to_stored_dataset(spark, tmp_path):
     header = ",".join(c.upper().replace("_", " ") for c in BASE)
     lines = [header, ",".join(BASE.values()), ",".join({**BASE, "total": "-1"}.values())]

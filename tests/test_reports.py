@@ -216,6 +216,12 @@ def test_histogram_of_one_value(spark):
     assert [r.filas for r in explore.sales_histogram(loaded, 3).collect()] == [2, 0, 0]
 
 
-def test_matrix_has_a_column_for_each_category(random_star):
+def test_matrix_sums_what_is_not_named(random_star):
     loaded, _ = random_star
-    assert explore.country_category_matrix(loaded).columns == ["pais", "t0", "t1", "t2"]
+    whole = explore.country_category_matrix(loaded, ["t0", "t1", "t2"])
+    assert whole.columns == ["pais", "t0", "t1", "t2", "otras"]
+    part = {r.pais: r for r in explore.country_category_matrix(loaded, ["t1"]).collect()}
+    for r in whole.collect():
+        assert r.otras is None and part[r.pais].t1 == r.t1
+        left = [x for x in (r.t0, r.t2) if x is not None]
+        assert part[r.pais].otras == (sum(left) if left else None)

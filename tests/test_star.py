@@ -97,6 +97,14 @@ def test_a_failed_load_leaves_the_published_version(spark, warehouse):
     assert [row[1] for row in contents(warehouse.read().dim_region)] == ["Cali"]
 
 
+def test_a_failed_load_writes_every_violation(spark, tmp_path):
+    rows = spark.range(21).selectExpr("'t' as tabla", "'c' as restriccion", "string(id) as clave", "1L as filas")
+    with pytest.raises(constraints.ConstraintViolation, match=r"t c \(21 rows\)") as raised:
+        constraints.enforce(rows, str(tmp_path / "violations"))
+    assert spark.read.parquet(raised.value.path).count() == 21
+    constraints.enforce(rows.limit(0), str(tmp_path / "none"))
+
+
 def test_every_constraint_finds_its_breach(spark, tmp_path):
     good = star(spark, tmp_path, {}, {})
     assert constraints.star_violations(good).collect() == []
