@@ -7,14 +7,17 @@ threshold t share an n-gram among the first m - ceil(t m) + 1 and the first
 n - ceil(t n) + 1 columns of their rows. A column block (all rows of one n-gram)
 adds one to the overlap of its pairs; pairs that cannot reach
 ceil(t (m + n) / (1 + t)) by their sizes and by the columns still to come are
-discarded, the others are verified on the whole sets.
+discarded, the others are verified on the whole sets. Each row also has the
+parities of its set in 256 cells: two sets differ in at least as many n-grams as
+their parities do in cells, which discards most pairs inside the product.
 
 Only the components are asked for, so the product runs in rounds. In a round
-each column links its rows to one of them, the hub, which takes as many products
-as the column has rows. Rows found linked are merged; columns within one
-component need no more work. Once the pairs that are left are few, or hubs find
-nothing new, the last round multiplies out all pairs of different components.
-No candidate is dropped for its number.
+each column links its rows to a few of them, the hubs: of a random quarter of the
+rows the one with the most common n-grams. That takes as many products as the
+column has rows, times HUBS. Rows found linked are
+merged; columns within one component need no more work. Once the pairs that are
+left are few, or hubs find next to nothing new, the last round multiplies out all
+pairs of different components. No candidate is dropped for its number.
 """
 
 from __future__ import annotations
@@ -40,10 +43,14 @@ PERCENT = 80
 RANK_CELLS = 1 << 22
 _RANK_PARTS = 256
 #: The last round may look at so many pairs for each entry of the columns; it comes
-#: sooner when a round of hubs leaves more than LITTLE of the pairs.
+#: sooner when a round of hubs leaves more than LITTLE of the pairs, as those are mostly no links.
 _PAIRS_PER_ENTRY = 8
-_LITTLE = 0.8
+_LITTLE = 0.25
 _HUB_ROUNDS = 8
+#: Hubs of a column in a round, each the most central row of another random quarter.
+HUBS = 4
+_SIGN_BITS = 256
+_SIGN = ", ".join(f"w{i}: long" for i in range(_SIGN_BITS // 64))
 
 
 def _needed(size, percent: int):
@@ -94,25 +101,35 @@ def _sets(batch: pa.RecordBatch, column: int, n: int) -> Iterator[np.ndarray]:
             yield np.unique(words.shingles(all_words[i:j], n))
 
 
+def _parities(grams: np.ndarray) -> np.ndarray:
+    """Of each cell, whether an odd number of n-grams falls in it."""
+    cells = np.bincount((grams & np.uint64(_SIGN_BITS - 1)).astype(np.int64), minlength=_SIGN_BITS)
+    return np.packbits((cells & 1).astype(np.uint8)).view(np.int64)
+
+
 def _rows(batches, n: int, percent: int, ranks) -> Iterator[pa.RecordBatch]:
-    """Set size, digest of the set and its first columns, for each document."""
+    """Set size, digest and parities of the set and its first columns, for each document."""
     shift = np.uint64(64 - (RANK_CELLS.bit_length() - 1))
     rank = ranks.value
     for batch in batches:
-        sizes, digests, firsts = [], [], []
+        sizes, digests, signs, firsts = [], [], [], []
         for grams in _sets(batch, 1, n):
             sizes.append(len(grams))
             digests.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest())
+            signs.append(_parities(grams))
             order = np.argsort(rank[(grams >> shift).astype(np.int64)], kind="stable")
             first = len(grams) - _needed(len(grams), percent) + 1 if len(grams) else 0
             firsts.append(grams[order[:first]].astype(np.int64))
         ends = np.cumsum([0] + [len(f) for f in firsts], dtype=np.int32)
         flat = np.concatenate([np.empty(0, np.int64), *firsts])
+        words_of = np.array(signs, np.int64).reshape(-1, _SIGN_BITS // 64).T
+        sign = {f"w{i}": pa.array(w) for i, w in enumerate(words_of)}
         yield pa.RecordBatch.from_pydict(
             {
                 "doc_id": batch.column(0),
                 "n": pa.array(sizes, pa.int64()),
                 "digest": pa.array(digests, pa.binary()),
+                "sign": pa.StructArray.from_arrays(list(sign.values()), list(sign)),
                 "first": pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
             }
         )
@@ -150,7 +167,9 @@ def _pair_bounds(percent: int):
     exact = F.when(F.expr(f"{percent} * (n_a + n_b) % {100 + percent} > 0"), need + 1)
     need = exact.otherwise(need)
     left = F.least(F.expr("n_a - at_a"), F.expr("n_b - at_b"))
-    return need, F.least("at_a", "at_b") + left >= need
+    differ = " + ".join(f"bit_count(sign_a.w{i} ^ sign_b.w{i})" for i in range(_SIGN_BITS // 64))
+    alike = F.coalesce(F.expr(f"n_a + n_b - ({differ})") >= 2 * need, F.lit(True))
+    return need, (F.least("at_a", "at_b") + left >= need) & alike
 
 
 class _Matrix:
@@ -160,7 +179,7 @@ class _Matrix:
         spark = prepared(docs.sparkSession)
         self.docs, self.n, self.percent = docs, n, percent
         ranks = spark.sparkContext.broadcast(_ranks(docs, n))
-        kind = "doc_id long, n long, digest binary, first array<long>"
+        kind = f"doc_id long, n long, digest binary, sign struct<{_SIGN}>, first array<long>"
         self.rows = stored(docs.mapInArrow(lambda b: _rows(b, n, percent, ranks), kind), "sets")
         self.classes = (
             self.rows.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("id"))
@@ -169,14 +188,19 @@ class _Matrix:
             self.classes.select("digest", F.col("id").alias("doc_id")), ["digest", "doc_id"]
         )
         first = first.dropDuplicates(["digest", "doc_id"])
-        entries = first.select(F.col("doc_id").alias("id"), "n", F.posexplode("first"))
-        entries = stored(
-            entries.select("id", "n", (F.col("pos") + 1).alias("at"), F.col("col").alias("gram")),
-            "entries",
-        )
+        first = stored(first.select(F.col("doc_id").alias("id"), "n", "sign", "first"), "first")
+        entries = first.select("id", "n", F.posexplode("first"))
+        entries = entries.select("id", "n", (F.col("pos") + 1).alias("at"), F.col("col").alias("gram"))
         # Counted and joined, not windowed: an n-gram of a third of all rows is no task of its own.
         shared = entries.groupBy("gram").agg(F.count("*").alias("rows")).filter("rows > 1")
-        self.columns = stored(entries.join(shared.select("gram"), "gram", "left_semi"), "columns")
+        columns = stored(entries.join(shared, "gram"), "columns")
+        # Two texts under one key may have sets of one size; then no parities are used.
+        signs = first.groupBy("id", "n").agg(
+            F.when(F.min("sign") == F.max("sign"), F.min("sign")).alias("sign")
+        )
+        central = columns.groupBy("id", "n").agg(F.round(F.sum(F.log("rows")), 6).alias("central"))
+        columns = columns.drop("rows").join(central.join(signs, ["id", "n"]), ["id", "n"])
+        self.columns = stored(columns, "columns")
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs(a, b)`` whose first columns overlap as much as links must.
@@ -212,21 +236,28 @@ class _Matrix:
         return whole.mapInArrow(lambda b: _verified(b, percent), "a long, b long")
 
     def hub_pairs(self, columns: DataFrame, turn: int) -> DataFrame:
-        """Each row of a column with the column's hub, another one in each turn."""
-        lot = F.xxhash64("id", F.lit(turn)) if turn else F.struct("n", "id")
-        hub = F.struct(lot.alias("lot"), "id", "n", "at", "component")
-        hubs = columns.groupBy("gram").agg(F.min(hub).alias("hub"))
-        met = columns.join(hubs, "gram").filter("component != hub.component")
-        met = met.select(
+        """Each row of a column with the column's hubs, other ones in each turn."""
+        hubs = []
+        for k in range(HUBS):
+            quarter = F.pmod(F.xxhash64("id", F.lit(turn * HUBS + k)), F.lit(4)).alias("quarter")
+            lot = [quarter, (-F.col("central")).alias("lot")]
+            hubs.append(F.min(F.struct(*lot, "id", "n", "at", "component", "sign")))
+        hubs = columns.groupBy("gram").agg(F.array(*hubs).alias("hubs"))
+        met = columns.join(hubs, "gram").withColumn("hub", F.explode("hubs"))
+        met = met.filter("component != hub.component").select(
             F.col("hub.id").alias("a"),
             F.col("hub.n").alias("n_a"),
             F.col("hub.at").alias("at_a"),
+            F.col("hub.sign").alias("sign_a"),
             F.col("id").alias("b"),
             F.col("n").alias("n_b"),
             F.col("at").alias("at_b"),
+            F.col("sign").alias("sign_b"),
         )
         _, possible = _pair_bounds(self.percent)
-        return self.likely(met.filter(possible).select("a", "b").distinct())
+        met = met.filter(possible)
+        met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        return self.likely(met.distinct())
 
     def all_pairs(self, columns: DataFrame) -> DataFrame:
         """Pairs of different components, by the overlap their columns add up to."""
