@@ -1,10 +1,14 @@
 """License scans by canonical digests.
 
-A text is brought to a canonical form: A-Z in lower case, copyright lines left
+A text is brought to a canonical form: A-Z in lower case, copyright notices left
 out, equivalent spellings made equal, runs of white space and punctuation turned
 into one space. The SHA-256 of the form is joined with the digests of known
 license texts and notices. Two kinds of entire texts are looked up: the whole
 document, and each of its lines, where one-sentence notices stand.
+
+A notice begins with a sign, a year or a holder; 'copyright notice' or 'copyright
+holders' at the start of a line is body text. It ends where one of OPENINGS begins,
+else with its line, so a license has the same digest however its lines are broken.
 """
 
 from __future__ import annotations
@@ -16,27 +20,79 @@ from almacen.llm.license_texts import KNOWN, SPELLINGS
 from almacen.llm.stored import prepared, small_or_not, stored
 
 #: Patterns that mean the same to Java's and to RE2's regular expressions.
+#: The SQL's pattern: it deletes every line that starts so, notice or not.
 COPYRIGHT_LINE = r"(^|\n)[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*"
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F ‐‑‒–—―‘’“”•…]+"
+#: What follows a notice, be it on the same line.
+OPENINGS = (
+    "permission is hereby granted",
+    "permission is granted to anyone",
+    "permission to use",
+    "redistribution and use",
+    "this software is provided",
+    "everyone is permitted",
+    "licensed under",
+    "released under",
+    "this work is licensed",
+    "spdx-license-identifier",
+    "the mit license",
+    "mit license",
+    "isc license",
+    "zlib license",
+    "bsd zero clause license",
+    "bsd 2-clause license",
+    "bsd 3-clause license",
+)
+_OPENING = "(?:" + "|".join(x.replace(" ", r"\s+").replace("-", r"-\s*") for x in OPENINGS) + ")"
+_YEAR = r"(?:(?:19|20)[0-9]{2}\b|[<\[{(]?(?:yyyy|year)\b)"
+_SIGN = r"(?:\(c\)|©)"
+_DATED = rf"(?:copyright[\s:,]*{_SIGN}|(?:copyright|{_SIGN})[\s:,]*{_YEAR}|©)"
+#: Words after 'copyright' that no holder's name begins with.
+_NO_HOLDER = (
+    r"(?:notices?|holders?|owners?|laws?|licen[sc]es?|permissions?|statements?|disclaimers?|interests?|rights?"
+    r"|treat(?:y|ies)|protections?|status|claims?|acts?|and|or|on|in|to|of|is|are|for|as|if|that|which|with|has|have"
+    r"|may|must|shall|will|under|from|applies|infringement|ownership|terms?|conditions?|information|subsists)"
+)
+#: Up to a blank line at most, which may follow.
+_IN_PARAGRAPH = r"(?:(?!\n[ \t\r]*\n)[\s\S]){0,400}?"
+#: A dated notice with one of OPENINGS after it, wherever it stands.
+NOTICE_BEFORE = rf"(?<![a-z0-9]){_DATED}{_IN_PARAGRAPH}\s*(?<![a-z0-9])(?={_OPENING})"
+#: A notice that is a line.
+NOTICE_LINE = (
+    rf"(^|\n)[^a-z0-9\n©]*(?<!\()(?:{_DATED}|copyright\b(?![\s:,]*$|[ \t]*\n|\s*{_NO_HOLDER}\b)[ \t:,]+)"
+    rf"[^\n]*?(?=\n|\z|(?<![a-z0-9]){_OPENING})"
+)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def _spelled(text):
-    """Lower case, without copyright lines, in one spelling; lines are kept."""
-    text = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    text = F.regexp_replace(text, COPYRIGHT_LINE, "$1")
+    """In one spelling; lines are kept."""
     for variant, usual in SPELLINGS:
         text = F.replace(text, F.lit(variant), F.lit(usual))
     return text
 
 
+def _lowered(text):
+    return F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+
+
 def _words_only(text):
     return F.trim(F.regexp_replace(text, NOT_WORD, " "))
 
 
+def _without_notices(lowered):
+    return F.regexp_replace(lowered, NOTICE_LINE, "$1")
+
+
 def canonical(text):
     """The canonical form of a text column; null counts as empty."""
-    return _words_only(_spelled(text))
+    return _canonical(_lowered(text))
+
+
+def _canonical(lowered):
+    text = _without_notices(F.regexp_replace(lowered, NOTICE_BEFORE, " "))
+    text = F.regexp_replace(text, r"(?<=[a-z])-\s+(?=[a-z])", "-")  # a line broken at a hyphen
+    return _words_only(_spelled(F.regexp_replace(text, r"\s+", " ")))
 
 
 def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
@@ -60,12 +116,13 @@ def scan(
     spark = prepared(docs.sparkSession)
     known = known_digests(spark) if known is None else known
     known = small_or_not(stored(known, "known"), 128)
-    given = docs.select(F.col(key).alias("doc_id"), _spelled(F.col(text)).alias("spelled"))
-    digest = F.sha2(_words_only(F.col("spelled")), 256).alias("text_digest")
+    given = docs.select(F.col(key).alias("doc_id"), _lowered(F.col(text)).alias("lowered"))
+    digest = F.sha2(_canonical(F.col("lowered")), 256).alias("text_digest")
     whole = given.select("doc_id", digest).join(
         known, F.col("text_digest") == F.col("digest"), "left"
     )
-    lines = given.select("doc_id", F.explode(F.split("spelled", "\n")).alias("line"))
+    spelled = _spelled(_without_notices(F.col("lowered")))
+    lines = given.select("doc_id", F.explode(F.split(spelled, "\n")).alias("line"))
     lines = lines.withColumn("line", F.sha2(_words_only(F.col("line")), 256))
     named = lines.join(known, F.col("line") == F.col("digest")).groupBy(F.col("doc_id").alias("of"))
     named = named.agg(
