@@ -29,14 +29,16 @@ from almacen.llm.stored import prepared, stored
 from almacen.llm.words import mixed
 
 ORDER = 5
-#: The sample of one language: so many texts, the first in an order by hash, as far
-#: as they start within so many characters. It bounds the models, whatever the input.
+#: The sample of one language: so many texts, the first in an order by hash. If they have
+#: more characters than this, each is cut to an equal share. It bounds the models, whatever the input.
 SAMPLE_TEXTS = 600
 SAMPLE_CHARACTERS = 3_000_000
 #: Of the sample, one text in so many calibrates.
 _CALIBRATE = 5
 #: A text is rejected this many deviations above the usual cross-entropy.
 DEVIATIONS = 8.0
+#: A language with fewer calibration texts has the relative deviation of all languages.
+_OWN_TEXTS = 10
 #: An unseen character has this share of what is left for new ones.
 _NEW_CHARACTER = 1 / 4096
 _SHARPNESS = (0.01, 0.03, 0.1, 0.3, 1.0)
@@ -168,6 +170,7 @@ class Models:
     usual: np.ndarray | None = None
     spread: np.ndarray | None = None
     spread_short: np.ndarray | None = None
+    letters: np.ndarray | None = None
 
     @classmethod
     def of(cls, rows) -> Models:
@@ -209,7 +212,8 @@ class Models:
                 p += np.where(known[:, None], weights[k - 1][prefix], 1) * below[suffix]
             logs[k], below = np.log(p).astype(np.float32), p
         logged = {k: np.log(w) for k, w in weights.items()}
-        return cls(langs, hashes, logs, logged, np.log(new))
+        letters = np.array([len(get(x, 1, "hashes", np.uint64)) for x in langs])
+        return cls(langs, hashes, logs, logged, np.log(new), letters=letters)
 
     def _sums(self, codes: np.ndarray) -> np.ndarray:
         """Summed log probability of the characters from ``ORDER - 1`` on, by language."""
@@ -293,10 +297,14 @@ def _measured(batches, models) -> Iterator[pa.RecordBatch]:
 
 
 def _calibrated(models: Models, rows) -> Models:
-    """Sharpness and usual cross-entropies from texts that were kept from the counts."""
+    """Sharpness and limits from texts that were kept from the counts.
+
+    A language with few such texts has the relative deviation of all languages; without
+    any, or with few in all, it is allowed the cross-entropy of guessing among its letters.
+    """
     n = len(models.langs)
-    models.usual, models.spread = np.full(n, np.inf), np.ones(n)
-    models.spread_short = np.ones(n)
+    models.usual, models.spread = np.log(models.letters + 1.0), np.zeros(n)
+    models.spread_short = np.zeros(n)
     rows = [r for r in rows if r["size"]]
     if not rows:
         return models
@@ -311,12 +319,23 @@ def _calibrated(models: Models, rows) -> Models:
         logs = logs - np.log(np.exp(logs).sum(axis=1))[:, None]
         losses.append(-logs[np.arange(len(rows)), right].mean())
     models.sharpness = _SHARPNESS[int(np.argmin(losses))]
-    for i in range(n):
-        own, size = entropies[right == i, i], sizes[right == i]
-        if len(own) >= 10:
-            models.usual[i] = np.average(own, weights=np.sqrt(size))
-            models.spread[i] = np.sqrt(np.average((own - models.usual[i]) ** 2, weights=size))
-            models.spread_short[i] = np.sqrt(np.mean((own - models.usual[i]) ** 2 * size))
+    known = [np.flatnonzero(right == i) for i in range(n)]
+    usual = models.usual.copy()
+    for i, at in enumerate(known):
+        if len(at):
+            usual[i] = np.average(entropies[at, i], weights=np.sqrt(sizes[at]))
+    above = entropies[np.arange(len(rows)), right] - usual[right]
+    several = np.concatenate([np.empty(0, np.int64), *(at for at in known if len(at) > 1)])
+    pooled, pooled_sizes = above[several] / usual[right[several]], sizes[several]
+    for i, at in enumerate(known):
+        own, size, scale = above[at], sizes[at], 1.0
+        if len(at) < _OWN_TEXTS:  # its usual cross-entropy is not well known either
+            if not len(at) or len(several) < _OWN_TEXTS:
+                continue
+            own, size, scale = pooled, pooled_sizes, usual[i] * np.sqrt(1 + 1 / len(at))
+        models.usual[i] = usual[i]
+        models.spread[i] = scale * np.sqrt(np.average(own**2, weights=size))
+        models.spread_short[i] = scale * np.sqrt(np.mean(own**2 * size))
     return models
 
 
@@ -324,7 +343,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     """Models from the rows of ``docs`` that have a key, a text and a language.
 
     The sample of a language is bounded by SAMPLE_TEXTS and SAMPLE_CHARACTERS; its
-    texts are read whole. Repeated rows count once. No such rows give no languages.
+    texts are cut to equal shares only if they have more characters. Repeated rows count once. No such rows give no languages.
     """
     spark = prepared(docs.sparkSession)
     given = docs.select(
@@ -334,10 +353,14 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "key"))
     sizes = given.select("key", "lang", F.length("text").alias("size"), order.alias("order"))
     first = sizes.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_TEXTS)
-    before = F.sum("size").over(Window.partitionBy("lang").orderBy("rank")) - F.col("size")
-    first = first.withColumn("before", before).filter(F.col("before") < SAMPLE_CHARACTERS)
-    chosen = F.broadcast(first.groupBy("key", "lang").agg(F.min("rank").alias("rank")))
-    sample = stored(given.join(chosen, ["key", "lang"]).dropDuplicates(["key", "lang"]), "sample")
+    of_lang = Window.partitionBy("lang")
+    share = F.floor(SAMPLE_CHARACTERS / F.count("*").over(of_lang)).cast("int")
+    share = F.when(F.sum("size").over(of_lang) > SAMPLE_CHARACTERS, share)
+    first = first.withColumn("share", share)
+    chosen = first.groupBy("key", "lang").agg(F.min("rank").alias("rank"), F.min("share").alias("share"))
+    sample = given.join(F.broadcast(chosen), ["key", "lang"]).dropDuplicates(["key", "lang"])
+    cut = F.coalesce(F.substring("text", F.lit(1), F.col("share")), F.col("text"))
+    sample = stored(sample.withColumn("text", cut).drop("share"), "sample")
     # By rank, so that the first text of every language is counted.
     calibrates = F.col("rank") % _CALIBRATE == 0
     counted = sample.filter(~calibrates).groupBy("lang").applyInPandas(_train_language, _MODEL)
