@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from almacen.llm.stored import prepared, stored
+from almacen.llm.stored import prepared, small_or_not, stored
 from almacen.llm.words import mixed
 
 ORDER = 5
@@ -35,8 +35,9 @@ SAMPLE_TEXTS = 600
 SAMPLE_CHARACTERS = 3_000_000
 #: Of the sample, one text in so many calibrates.
 _CALIBRATE = 5
-#: A text is rejected this many deviations above the usual cross-entropy.
-DEVIATIONS = 8.0
+#: A text is rejected this many deviations above the usual cross-entropy. Random letters lie
+#: above it from about 100 characters on; shorter texts say too little to be told apart.
+DEVIATIONS = 7.5
 #: A language with fewer calibration texts has the relative deviation of all languages.
 _OWN_TEXTS = 10
 #: An unseen character has this share of what is left for new ones.
@@ -98,8 +99,8 @@ class _Counts:
         at = np.flatnonzero(keep)[first]
         self.counts = self.counts.astype(np.float64)
         self.suffix = _hashes(codes, order - 1)[at] if order > 1 else None
-        before = np.concatenate([[0], _hashes(codes, order - 1)]) if order > 1 else None
-        self.prefix = before[at] if order > 1 else None
+        # A place of -1 is the padding before the first text.
+        self.prefix = _at(codes, at - 1, order - 1) if order > 1 else None
 
 
 def _train(texts: pd.Series) -> dict[int, tuple]:
@@ -180,10 +181,11 @@ class Models:
             return cls([], {}, {}, {}, np.zeros(0))
         given = {(r["lang"], r["k"]): r for r in rows}
         get = lambda lang, k, name, kind: np.frombuffer(given[lang, k][name], dtype=kind)
-        hashes = {
-            k: np.unique(np.concatenate([get(x, k, "hashes", np.uint64) for x in langs]))
-            for k in range(1, ORDER + 1)
-        }
+        # Contexts that nothing leads to, the padding before a text, have weights too.
+        places = {k: [get(x, k, "hashes", np.uint64) for x in langs] for k in range(1, ORDER + 1)}
+        for k in range(1, ORDER):
+            places[k] += [get(x, k + 1, "context", np.uint64) for x in langs]
+        hashes = {k: np.unique(np.concatenate(found)) for k, found in places.items()}
         new = np.array([get(x, 1, "weight", np.float64)[0] for x in langs]) * _NEW_CHARACTER
         weights = {
             k: np.ones((len(hashes[k]), len(langs)), dtype=np.float32) for k in range(1, ORDER)
@@ -340,25 +342,27 @@ def _calibrated(models: Models, rows) -> Models:
 
 
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Models:
-    """Models from the rows of ``docs`` that have a key, a text and a language.
+    """Models from the rows of ``docs`` that have a text and a language; a null key is a key.
 
     The sample of a language is bounded by SAMPLE_TEXTS and SAMPLE_CHARACTERS; its
     texts are cut to equal shares only if they have more characters. Repeated rows count once. No such rows give no languages.
     """
     spark = prepared(docs.sparkSession)
-    given = docs.select(
-        F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")
-    ).dropna()
-    order = F.xxhash64("key")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "key"))
-    sizes = given.select("key", "lang", F.length("text").alias("size"), order.alias("order"))
+    # A row is known by its key and whole text: rows with one name are alike, any of them will do.
+    given = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(key).alias("key"))
+    given = given.dropna(subset=["text", "lang"])
+    name = F.md5(F.concat(F.coalesce(F.col("key").cast("string"), F.lit("no key")), F.lit(":"), F.md5("text")))
+    given = given.select("lang", "text", name.alias("name"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("name"))
+    sizes = given.select("lang", "name", F.length("text").alias("size"))
     first = sizes.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_TEXTS)
     of_lang = Window.partitionBy("lang")
     share = F.floor(SAMPLE_CHARACTERS / F.count("*").over(of_lang)).cast("int")
     share = F.when(F.sum("size").over(of_lang) > SAMPLE_CHARACTERS, share)
     first = first.withColumn("share", share)
-    chosen = first.groupBy("key", "lang").agg(F.min("rank").alias("rank"), F.min("share").alias("share"))
-    sample = given.join(F.broadcast(chosen), ["key", "lang"]).dropDuplicates(["key", "lang"])
+    chosen = first.groupBy("name", "lang").agg(F.min("rank").alias("rank"), F.min("share").alias("share"))
+    chosen = small_or_not(stored(chosen, "chosen"), 64)
+    sample = given.join(chosen, ["name", "lang"]).dropDuplicates(["name", "lang"])
     cut = F.coalesce(F.substring("text", F.lit(1), F.col("share")), F.col("text"))
     sample = stored(sample.withColumn("text", cut).drop("share"), "sample")
     # By rank, so that the first text of every language is counted.

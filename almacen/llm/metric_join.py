@@ -189,7 +189,7 @@ class _Block:
             part = (self.ids[span], self.weights[span], self.vectors[span], self.lengths[span])
             linked = self.linked(part)
             linked[np.arange(stop - start), np.arange(start, stop)] = True
-            self.links[span] += linked @ self.weights - 1
+            self.links[span] += linked @ self.weights - self.weights[span]
             for i in np.flatnonzero(linked.sum(axis=1) > 1):
                 self._merge(np.flatnonzero(linked[i]))
         tops = np.array([self._find(i) for i in range(len(self.ids))], dtype=np.int64)

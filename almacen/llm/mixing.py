@@ -158,7 +158,7 @@ def _drawn(rows: DataFrame, plans: DataFrame, most: int) -> DataFrame:
         "target",
         "certain",
         "rank",
-        F.floor(inside / (2 * _WIDEST) * _RANGES).alias("range"),
+        F.when(F.col("rank").isNotNull(), F.floor(inside / (2 * _WIDEST) * _RANGES)).alias("range"),
     )
 
 

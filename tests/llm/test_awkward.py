@@ -265,8 +265,8 @@ def test_metric_join(spark):
     rows = [
         (1, [1.0, 0.0], 0, 0, 0),
         (2, [2.0, 0.0], 0, 0, 0),
-        (3, [0.9, 0.43588989], 0, 0, 0),
-        (4, [0.6, 0.8], None, None, None),
+        (3, [0.92, 0.39], 0, 0, 0),
+        (4, [0.7, 0.7], None, None, None),
         (5, None, 0, 0, 0),
         (6, [], 0, 0, 0),
         (7, [0.0, -0.0], 0, 0, 0),

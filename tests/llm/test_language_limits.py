@@ -37,3 +37,17 @@ def test_a_few_long_texts_do_not_use_up_the_sample(spark, monkeypatch):
     models = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     assert models.usual[0] < 1  # calibrated by twelve texts
     assert models.judged("zxqvw kjhgf pqzxw vbnmk " * 20)[2]
+
+
+def test_gibberish_of_a_hundred_letters_goes_and_all_documents_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    models = language_id.train(docs)
+    draw = random.Random(3)
+    share = {}
+    for size in (10, 20, 40, 100, 200, 400):
+        texts = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz   ", k=size)) for _ in range(50)]
+        share[size] = sum(models.judged(text)[2] for text in texts) / 50
+    assert [share[k] for k in (100, 200, 400)] == [1, 1, 1]
+    assert sorted(share.values()) == list(share.values())
+    worded = docs.filter("text rlike '[A-Za-z]'")
+    assert language_id.accepted(worded, models).count() == worded.count()
