@@ -16,12 +16,14 @@ from almacen.llm import (
     licenses,
     metric_join,
     mixing,
+    ranked_search,
     sharding,
+    source_audit,
     sql,
+    suffix_dedup,
 )
 
 
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -91,6 +93,28 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", held_out)
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(_table(spark, sf_dir, "documents"))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.without_repeats(_table(spark, sf_dir, "documents"))
+    sizes = F.zip_with("until", "from", lambda until, start: until - start)
+    none = F.lit(0).cast("long")
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(sizes, none, lambda total, size: total + size).alias("n_removed"),
+        F.size("from").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, items = (_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return ranked_search.search(documents, items)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -104,6 +128,9 @@ QUERIES = {
         op8_byte_bpe,
         op9_license_scan,
         op10_lm_scoring,
+        op11_source_audit,
+        op12_suffix_dedup,
+        op13_ranked_search,
     )
 }
 
@@ -114,4 +141,7 @@ SQL = {
     "op6_jaccard_join": sql.JACCARD_JOIN,
     "op7_embedding_dedup": sql.EMBEDDING_DEDUP,
     "op9_license_scan": sql.LICENSES,
+    "op11_source_audit": sql.SOURCE_AUDIT,
+    "op12_suffix_dedup": sql.SUFFIX_DEDUP,
+    "op13_ranked_search": sql.RANKED_SEARCH,
 }

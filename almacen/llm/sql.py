@@ -202,3 +202,125 @@ select conv_id, perspective, turn, position, label, segment, ends_at - length(se
     ends_at, case when mask then ends_at - length(segment) + length(head) end as learns_from, mask
 from placed
 """
+
+SOURCE_AUDIT = rf"""
+with given as (
+    select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+        translate(coalesce(text, ''), '{UPPER}', '{LOWER}') as text
+    from documents
+), found as (
+    select row, lang, source,
+        unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from given
+), kept as (
+    select lang, term from found group by all having count(distinct row) >= 30
+), counted as (
+    select lang, source, term, count(*) as n from found join kept using (lang, term) group by all
+), groups as (
+    select distinct lang, source from given
+), sizes as (
+    select lang, source, coalesce(sum(n), 0)::hugeint as total,
+        (select count(*) from kept k where k.lang = g.lang) as v
+    from groups g left join counted using (lang, source) group by lang, source
+), shares as (
+    select s.lang, s.source, k.term, coalesce(c.n, 0) as n,
+        (1 + (1000000000::hugeint * (coalesce(c.n, 0) + 5)) // (s.total + 5 * s.v))::bigint as p
+    from sizes s join kept k on k.lang = s.lang
+    left join counted c on c.lang = s.lang and c.source = s.source and c.term = k.term
+), usual as (
+    select k.lang, k.term, (1 + (1000000000::hugeint * (sum(c.n) + 5)) // (t.total + 5 * t.v))::bigint as q
+    from kept k join counted c using (lang, term)
+    join (select lang, sum(total) as total, max(v) as v from sizes group by lang) t on t.lang = k.lang
+    group by k.lang, k.term, t.total, t.v
+), pairs as (
+    select a.lang, a.source, b.source as item, coalesce(any_value(d.value), 0)::bigint as value
+    from groups a join groups b on a.lang = b.lang and a.source != b.source
+    left join (
+        select x.lang, x.source, y.source as item, sum(abs(x.p - y.p)) as value
+        from shares x join shares y on x.lang = y.lang and x.term = y.term group by all
+    ) d on d.lang = a.lang and d.source = a.source and d.item = b.source
+    group by a.lang, a.source, b.source
+), terms as (
+    select s.lang, s.source, s.term as item, s.p - u.q as value
+    from shares s join usual u on u.lang = s.lang and u.term = s.term where s.n > 0 and s.p > u.q
+), every_part as (
+    select lang, source, 'pair' as part, item, value from pairs
+    union all select lang, source, 'term', item, value from terms
+), ranked as (
+    select *, (row_number() over (partition by lang, source, part order by value desc, item))::int as rank
+    from every_part
+)
+select * from ranked where part = 'pair' or rank <= 50
+"""
+
+#: Bytes as two hexadecimal digits; windows are cut from pieces, as long strings are slow to cut.
+SUFFIX_DEDUP = """
+with given as (
+    select row_number() over () as row, doc_id, hex(encode(coalesce(text, ''))) as h from documents
+), pieces as (
+    select row, c * 1000 as first, substr(h, c * 2000 + 1, 2398) as piece
+    from (select row, h, unnest(range((len(h) + 1999) // 2000)) as c from given)
+), windows as (
+    select row, first + i as place, md5_number(substr(piece, 2 * i + 1, 400)) as w
+    from (select *, unnest(range(least(1000, len(piece) // 2 - 199))) as i from pieces
+        where len(piece) >= 400)
+), twice as (
+    select w from windows group by w having count(*) > 1
+), hit as (
+    select row, place, place - lag(place) over (partition by row order by place) > 200 as gap
+    from windows semi join twice using (w)
+), numbered as (
+    select row, place, count_if(coalesce(gap, true)) over (partition by row order by place) as span from hit
+), spans as (
+    select row, span, min(place) as low, max(place) + 200 as high from numbered group by all
+), edges as (
+    select row, low, high, coalesce(lag(high) over (partition by row order by low), 0) as before,
+        lead(low) over (partition by row order by low) is null as is_last
+    from spans
+), kept as (
+    select e.row, count(*) as n_spans, sum(high - low)::bigint as n_removed,
+        string_agg(substr(h, 2 * before + 1, 2 * (low - before)), '' order by low)
+            || any_value(substr(h, 2 * high + 1)) filter (is_last) as h
+    from edges e join given g on g.row = e.row group by e.row
+)
+select doc_id, (len(g.h) // 2)::bigint as n_bytes, coalesce(n_removed, 0) as n_removed,
+    coalesce(n_spans, 0) as n_spans, sha256(unhex(coalesce(k.h, g.h))) as kept_sha256
+from given g left join kept k using (row)
+"""
+
+RANKED_SEARCH = rf"""
+with given as (
+    select row_number() over () as row, doc_id,
+        translate(text, '{UPPER}', '{LOWER}') as text from documents
+), found as (
+    select row, doc_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from given
+), sizes as (
+    select row, count(*) as n from found group by row
+), totals as (
+    select count(*)::bigint as documents, sum(n)::bigint as total from sizes
+), postings as (
+    select row, any_value(doc_id) as doc_id, term, count(*) as tf from found group by row, term
+), items as (
+    select item_id, any_value(text) as text from benchmark group by item_id, text
+), asked as (
+    select item_id, text, term, count(*) as times from (
+        select item_id, text, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from items)
+    group by all
+), weights as (
+    select term, floor(1000 * ln((2 * documents + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+    from postings, totals group by term, documents
+), scored as (
+    select a.item_id, a.text, p.row, any_value(p.doc_id) as doc_id,
+        sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * documents) // total))))::bigint
+            as score
+    from asked a join postings p using (term) join weights using (term) join sizes s on s.row = p.row, totals
+    group by a.item_id, a.text, p.row
+), ranked as (
+    select item_id, (row_number() over (partition by item_id, text
+        order by score desc, doc_id nulls last))::int as rank, doc_id, score
+    from scored where score > 0
+)
+select * from ranked where rank <= 20
+"""

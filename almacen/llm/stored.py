@@ -60,6 +60,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded(df: DataFrame, *texts: str) -> DataFrame:
+    """Marked for broadcast if its rows, with the real lengths of these text columns, take little enough."""
+    lengths = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in texts), F.lit(16 * len(df.columns)))
+    size = df.agg(F.sum(lengths.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
 def small_or_not(df: DataFrame, row_bytes: int) -> DataFrame:
     """Marked for broadcast if its counted rows are few enough, else as it is."""
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
