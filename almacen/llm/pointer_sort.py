@@ -29,16 +29,23 @@ def symbols(view: np.ndarray, starts: np.ndarray, sizes: np.ndarray, depth: int)
     return view[at].astype(np.uint64) & _FIRST[np.clip(left, 0, _STEP)]
 
 
-def _in_slices(keys: np.ndarray, slices: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Order of the keys within each slice; slices lie one after the other."""
+def _in_slices(keys: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray | None:
+    """Order of the keys within each slice; None where all slices are in order."""
+    ordered = np.append(True, keys[1:] >= keys[:-1])
+    ordered[starts] = True
+    wrong = np.flatnonzero(~ordered)
+    if not len(wrong):
+        return None
     order = np.arange(len(keys))
-    pair = counts[slices] == 2
-    first = np.flatnonzero(pair)[0::2]
-    swapped = first[keys[first] > keys[first + 1]]
-    order[swapped], order[swapped + 1] = swapped + 1, swapped
-    longer = np.flatnonzero(~pair)
+    dirty = np.zeros(len(starts), dtype=bool)
+    dirty[np.searchsorted(starts, wrong, side="right") - 1] = True
+    first = starts[dirty & (counts == 2)]
+    order[first], order[first + 1] = first + 1, first
+    longer = np.flatnonzero(dirty & (counts > 2))
     if len(longer):
-        order[longer] = longer[np.lexsort((keys[longer], slices[longer]))]
+        inside = np.flatnonzero(np.repeat(dirty & (counts > 2), counts))
+        slices = np.repeat(longer, counts[longer])
+        order[inside] = inside[np.lexsort((keys[inside], slices))]
     return order
 
 
@@ -58,20 +65,21 @@ def sort_pointers(
     at, depth = np.arange(len(order)), _STEP
     while len(at) and (limit is None or depth < limit):
         # Slices of two or more in which something is left.
-        slices = np.cumsum(~same[at]) - 1
-        counts = np.bincount(slices)
-        longer = np.bincount(slices, sizes[order[at]] > depth) > 0
-        open_ones = ((counts > 1) & longer)[slices]
-        at = at[open_ones]
+        starts_at = np.flatnonzero(~same[at])
+        counts = np.diff(np.append(starts_at, len(at)))
+        longest = np.maximum.reduceat(sizes[order[at]], starts_at)
+        open_ones = (counts > 1) & (longest > depth)
+        at, counts = at[np.repeat(open_ones, counts)], counts[open_ones]
         if not len(at):
             break
-        slices = np.cumsum(~same[at]) - 1
-        counts = np.bincount(slices)
+        starts_at = np.cumsum(counts) - counts
         inside = order[at]
         keys = symbols(view, starts[inside], sizes[inside], depth)
-        within = _in_slices(keys, slices, counts)
-        order[at] = inside[within]
-        keys = keys[within]
-        same[at[1:]] &= keys[1:] == keys[:-1]
+        within = _in_slices(keys, starts_at, counts)
+        if within is not None:
+            order[at] = inside[within]
+            keys = keys[within]
+        equal = np.append(True, keys[1:] == keys[:-1])
+        same[at] &= equal
         depth += _STEP
     return order, same

@@ -39,7 +39,7 @@ _LEVELS = (0.16, 0.5, 0.75, 1.0)
 MOST_SEGMENTS = 4096
 #: Bytes of text hashed at once, and of segments whose suffixes are sorted together.
 _PIECE = 1 << 18
-_SORT_BYTES = 2 << 20
+_SORT_BYTES = 1 << 18
 
 _random = np.random.default_rng(20250412)
 _CODE = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -215,9 +215,12 @@ def _split(batches: Iterator[pa.RecordBatch], width: int, level: int) -> Iterato
 
 
 def _repeated(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """Windows of the segments (key, digest, bytes, times) that start a repeated string, as ranges."""
+    """Windows of the segments (key, digest, bytes, times) that start a repeated string, as ranges.
+
+    Rows of one key follow on each other; equal segments count together.
+    """
     digests, pieces, times = [], [], []
-    size, last = 0, None
+    size, last, places = 0, None, {}
 
     def found() -> pa.RecordBatch:
         data, ends = joined(pieces)
@@ -247,12 +250,17 @@ def _repeated(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
 
     for batch in batches:
         for key, digest, piece, often in zip(*(c.to_pylist() for c in batch.columns)):
-            if key != last and size >= _SORT_BYTES:
-                yield found()
-                digests, pieces, times, size = [], [], [], 0
+            if key != last:
+                if size >= _SORT_BYTES:
+                    yield found()
+                    digests, pieces, times, size = [], [], [], 0
+                last, places = key, {}
+            if digest in places:
+                times[places[digest]] += often
+                continue
+            places[digest] = len(pieces)
             digests.append(digest), pieces.append(piece), times.append(often)
             size += len(piece)
-            last = key
     if pieces:
         yield found()
 
@@ -267,14 +275,20 @@ def _moved(column: str):
 
 def _repeats(cut: DataFrame, width: int, level: int = 0) -> DataFrame:
     """(id, low, high): the repeated windows of everything that ``cut`` has segments of, as ranges."""
-    pieces = cut.groupBy("key", "digest").agg(F.first("bytes").alias("bytes"), F.sum("times").alias("times"))
-    pieces = stored(pieces, "pieces")
+    rows = ("key", "digest", "bytes", "times")
+    # Segments of most keys go straight to the owner, once. Those of common keys are counted together first.
+    common = cut.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > MOST_SEGMENTS)
+    common = bounded(stored(common.select("key"), "common"))
+    few = cut.join(common, "key", "left_anti").select(*rows)
+    pieces = cut.join(common, "key", "left_semi").groupBy("key", "digest")
+    pieces = pieces.agg(F.first("bytes").alias("bytes"), F.sum("times").alias("times"))
+    pieces = stored(pieces.select(*rows), "pieces")
     many = pieces.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > MOST_SEGMENTS)
     many = stored(many.select("key"), "many")
-    few, hot = pieces, level < len(_LEVELS) - 1 and not many.isEmpty()
+    few, hot = few.unionByName(pieces), level < len(_LEVELS) - 1 and not many.isEmpty()
     if hot:
-        few = pieces.join(bounded(many), "key", "left_anti")
-    few = few.select("key", "digest", "bytes", "times").repartition("key").sortWithinPartitions("key")
+        few = few.join(bounded(many), "key", "left_anti").select(*rows)
+    few = few.repartition("key").sortWithinPartitions("key")
     found = stored(few.mapInArrow(lambda b: _repeated(b, width), _RANGES), "repeated")
     if hot:
         parents = pieces.join(bounded(many), "key", "left_semi").select("digest", "bytes", "times")
@@ -321,14 +335,12 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH) -> DataFrame:
     every = keyed.select("times", F.explode(F.arrays_zip("keys", "twice")).alias("s"))
     times = F.col("times") * F.when(F.col("s.twice"), 2).otherwise(1)
     met = every.groupBy(F.col("s.keys").alias("key")).agg(F.sum(times).alias("times"))
-    met = bounded(stored(met.filter("times > 1").select("key"), "met"))
+    met = met.filter("times > 1").select("key")
     parts = keyed.select("id", "times", "row", F.explode(F.arrays_zip(*lists)).alias("s"))
     parts = parts.withColumn("key", F.col("s.keys")).join(met, "key").groupBy("id")
     parts = parts.agg(F.first("times").alias("times"), F.first("row").alias("row"), F.collect_list("s").alias("s"))
     parts = stored(parts, "suspects")
-    size = parts.agg(F.sum(F.size("s") * 24 + 64)).first()[0] or 0
     suspects = parts.select(F.col("id").alias("of"), F.col("row").alias("first"), "times", "s")
-    suspects = F.broadcast(suspects) if size <= BROADCAST_BYTES else suspects
     # One of the copies is cut; rows that are alike in key and text all are, which changes nothing.
     one = (F.col("id") == F.col("of")) & F.col("row").eqNullSafe(F.col("first"))
     cut = texts.join(suspects, one).select("id", "text", "times", *[F.col(f"s.{c}") for c in lists])
