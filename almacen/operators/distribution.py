@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_MARGIN = 0.002  # half the width, as a share of the rows, of the slice around each quantile
+#: Bits by which values are told apart in one pass.
+DIGIT = 14
+_MOST_DIGITS = 18  # of a decimal whose unscaled value is a 64-bit number
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
@@ -46,107 +51,92 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     )
 
 
-def value_frequencies(df: DataFrame, column: str) -> DataFrame:
-    """Each distinct value with its number of rows; repeated values collapse on the map side."""
-    return (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("value"))
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
+def _whole_numbers(df: DataFrame, column: str) -> tuple[DataFrame, int]:
+    """The values without nulls as whole numbers (column ``v``), and the decimal places moved."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.DecimalType) and kind.precision <= _MOST_DIGITS:
+        scale = kind.scale
+    elif isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
+        scale = 0
+    else:
+        raise TypeError(f"{column} is {kind.simpleString()}, not an integer or a short decimal")
+    whole = (F.col(column) * F.lit(10**scale)).cast("long").alias("v")
+    return df.select(whole).filter(F.col("v").isNotNull()), scale
+
+
+def order_statistics(values: DataFrame, low: int, high: int, ranks: Sequence[int]) -> dict[int, int]:
+    """The value at each rank (from 0) of the whole numbers ``v``, which lie in low..high.
+
+    Radix descent: values are counted by their leading bits, then those whose leading
+    bits hold a wanted rank by more bits, until all are known. Nothing is sorted or
+    gathered: a level counts at most 2^DIGIT groups for each wanted rank, however many
+    values fall in them, and only these counts leave the tasks.
+    """
+    above = F.col("v") - F.lit(low)
+    known, left = 0, (high - low).bit_length()
+    # Leading bits, with the wanted ranks counted from the first value that has them.
+    places = {0: [(rank, rank) for rank in sorted(set(ranks))]}
+    while left:
+        digit = min(DIGIT, left)
+        held = values.filter(F.shiftright(above, left).isin(*places)) if known else values
+        left -= digit
+        groups = held.groupBy(F.shiftright(above, left).alias("bits")).agg(F.count(F.lit(1)).alias("n"))
+        counts: dict[int, list[tuple[int, int]]] = {}
+        for bits, n in sorted(map(tuple, groups.collect())):
+            counts.setdefault(bits >> digit, []).append((bits, n))
+        deeper: dict[int, list[tuple[int, int]]] = {}
+        for bits, wanted in places.items():
+            before = 0
+            for inner, n in counts[bits]:
+                found = [(rank, at - before) for rank, at in wanted if before <= at < before + n]
+                if found:
+                    deeper[inner] = found
+                before += n
+        places, known = deeper, known + digit
+    return {rank: low + bits for bits, wanted in places.items() for rank, _ in wanted}
 
 
 def exact_quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
     """Exact quantiles, interpolated between neighbours: columns ``probability``, ``quantile``.
 
-    Spark's ``percentile`` gathers all distinct values in one task. Here an
-    approximate quantile on either side of each wanted one cuts the values into
-    slices: narrow ones where the quantiles are expected, wide ones between.
-    Slice totals tell which slice really holds each position, and a running
-    count over the values of those slices finds it. The approximation only
-    decides how much there is to run over; the result does not depend on it.
+    Spark's ``percentile`` gathers all distinct values in one task; here the two
+    neighbours of each place are found by ``order_statistics``. No values give no rows.
     """
-    cuts = sorted({min(max(p + m, 0.0), 1.0) for p in probabilities for m in (-_MARGIN, _MARGIN)})
-    edges = df.select(F.percentile_approx(column, cuts, 10000)).scalar()
-    slice_number = F.lit(0)
-    for i in range(len(cuts)):
-        slice_number = slice_number + F.when(F.col("value") > F.col("edges")[i], 1).otherwise(0)
-    sliced = (
-        value_frequencies(df, column)
-        .withColumn("edges", edges)
-        .select("value", "rows", slice_number.alias("slice"))
-    )
-    # one row for each slice, so the ungrouped windows run over a fixed number of rows
-    upto = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
-    everything = Window.partitionBy()
-    totals = sliced.groupBy("slice").agg(F.sum("rows").alias("rows"))
-    totals = totals.select(
-        "slice",
-        (F.sum("rows").over(upto) - F.col("rows")).alias("before"),
-        F.sum("rows").over(upto).alias("through"),
-        F.sum("rows").over(everything).alias("all_rows"),
-    )
-    wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-    place = F.col("probability") * (F.col("all_rows") - 1)
-    neighbours = F.array_distinct(F.array(F.floor(place), F.ceil(place)))
-    positions = (
-        totals.withColumn("probability", F.explode(wanted))
-        .withColumn("position", F.explode(neighbours))
-        .filter((F.col("position") >= F.col("before")) & (F.col("position") < F.col("through")))
-        .select("slice", "before", "probability", "position", (place % 1).alias("fraction"))
-    )
-    by_slice = positions.groupBy("slice", "before").agg(
-        F.collect_list(F.struct("probability", "position", "fraction")).alias("wanted")
-    )
-    running = Window.partitionBy("slice").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    found = (
-        sliced.join(F.broadcast(by_slice), "slice")
-        .withColumn("through", F.col("before") + F.sum("rows").over(running))
-        .withColumn("from", F.col("through") - F.col("rows"))
-        .withColumn(
-            "hits",
-            F.filter(
-                "wanted",
-                lambda w: (w["position"] >= F.col("from")) & (w["position"] < F.col("through")),
-            ),
-        )
-        .filter(F.size("hits") > 0)
-        .select(F.col("value").cast("double").alias("value"), F.explode("hits").alias("hit"))
-    )
-    share = F.max("hit.fraction")
-    return found.groupBy(F.col("hit.probability").alias("probability")).agg(
-        (F.min("value") * (1 - share) + F.max("value") * share).alias("quantile")
-    )
+    found = _quantiles(df, column, probabilities)
+    return df.sparkSession.createDataFrame(list(found.items()), "probability double, quantile double")
+
+
+def _quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> dict[float, float]:
+    values, scale = _whole_numbers(df, column)
+    low, high, rows = values.agg(F.min("v"), F.max("v"), F.count("v")).first()
+    if not rows:
+        return {}
+    places = {float(p): float(p) * (rows - 1) for p in probabilities}
+    ranks = {rank for place in places.values() for rank in (math.floor(place), math.ceil(place))}
+    whole = order_statistics(values, low, high, sorted(ranks))
+    value = {rank: float(Decimal(v).scaleb(-scale)) for rank, v in whole.items()}
+    return {
+        p: value[math.floor(place)] * (1 - place % 1) + value[math.ceil(place)] * (place % 1)
+        for p, place in places.items()
+    }
 
 
 def box_plot(df: DataFrame, column: str, reach: float = 1.5) -> DataFrame:
     """Quartiles, fences at ``reach`` interquartile ranges, and the rows beyond them: one row."""
-    frequencies = value_frequencies(df, column)
-    quartiles = exact_quantiles(df, column, (0.25, 0.5, 0.75)).agg(
-        *[
-            F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(name)
-            for p, name in ((0.25, "q1"), (0.5, "mediana"), (0.75, "q3"))
-        ]
-    )
-    spread = F.col("q3") - F.col("q1")
-    box = quartiles.select(
-        F.struct(
-            "q1",
-            "mediana",
-            "q3",
-            (F.col("q1") - reach * spread).alias("limite_inferior"),
-            (F.col("q3") + reach * spread).alias("limite_superior"),
-        )
-    ).scalar()
-    value = F.col("value").cast("double")
-    marked = frequencies.select("value", "rows", box.alias("box"))
-    low, high = F.col("box.limite_inferior"), F.col("box.limite_superior")
-    return marked.withColumn("outside", (value < low) | (value > high)).agg(
-        *[
-            F.max(f"box.{name}").alias(name)
-            for name in ("q1", "mediana", "q3", "limite_inferior", "limite_superior")
-        ],
+    found = _quantiles(df, column, (0.25, 0.5, 0.75))
+    q1, middle, q3 = (found.get(p) for p in (0.25, 0.5, 0.75))
+    low, high = (q1 - reach * (q3 - q1), q3 + reach * (q3 - q1)) if found else (None, None)
+    value = F.col(column).cast("double")
+    shown = {"q1": q1, "mediana": middle, "q3": q3, "limite_inferior": low, "limite_superior": high}
+    return df.agg(
         F.min(value).alias("minimo"),
         F.max(value).alias("maximo"),
-        F.coalesce(F.sum(F.when(F.col("outside"), F.col("rows"))), F.lit(0)).alias("atipicos"),
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("filas"),
+        F.count_if((value < F.lit(low)) | (value > F.lit(high))).alias("atipicos"),
+        F.count(column).alias("filas"),
+    ).select(
+        *[F.lit(v).cast("double").alias(name) for name, v in shown.items()],
+        "minimo",
+        "maximo",
+        "atipicos",
+        "filas",
     )

@@ -5,7 +5,9 @@ them flat at any fact size:
 
 * sums are taken by surrogate id first and labelled with the dimension
   afterwards, so the join never sees more rows than the dimension has members
-  and a member with a third of the sales is reduced to one row in every task;
+  and a member with a third of the sales is reduced to one row in every task.
+  Where two dimensions meet, the sums are by pairs of ids, unless one side is
+  proven to be small enough for every task to hold it: then no sale is shuffled;
 * windows run over the aggregated rows (months, years, categories), never over
   the fact.
 
@@ -14,9 +16,12 @@ Money stays decimal; means and percentages are exact and rounded once.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from almacen import schemas
 from almacen.functions.numbers import mean_2dp, percent_2dp
 from almacen.model import (
     DIM_CLIENTE,
@@ -29,7 +34,7 @@ from almacen.model import (
     SUBTOTAL_LABEL,
     Dimension,
 )
-from almacen.operators.joins import join_dimension
+from almacen.operators.joins import fits, join_dimension
 from almacen.sources.warehouse import Star
 
 
@@ -58,38 +63,43 @@ def sums_by_place(star: Star, by: list[str], *measures: Column) -> DataFrame:
     return label(placed, star, DIM_REGION, *by)
 
 
-def _by_country_and_product(star: Star, *columns: str) -> DataFrame:
-    """Fact columns with the country in place of the customer id."""
-    rows = star.fact_ventas.select("id_cliente", "id_producto", *columns)
-    rows = label(rows, star, DIM_CLIENTE, "id_region")
-    return label(rows, star, DIM_REGION, "pais")
+def _countries(star: Star) -> tuple[DataFrame, bool]:
+    """(id_cliente, pais) of every customer profile, and whether that is proven to be small."""
+    places = label(star.dim_cliente.select("id_cliente", "id_region"), star, DIM_REGION, "pais")
+    places = places.select("id_cliente", "pais")
+    rows = star.rows.get(DIM_CLIENTE.table)
+    return places, fits(rows, places.schema, schemas.TEXT_LENGTHS[DIM_REGION.table])
 
 
-def sums_by_country_and_category(star: Star, with_discount: bool = False) -> DataFrame:
-    """Total, rows and (if asked) discount sum and count by country and category.
+def sums_by_country_and_product_id(star: Star, *measures: str, counted: Sequence[str] = ()) -> DataFrame:
+    """Sums of measures, rows (n) and non-null counts (n_...) by country and product id.
 
-    When the products are too many to broadcast, the sums are first taken by
-    country and product id, so that only sums go through the join.
+    Where customer profiles are few, each task has them all and sums straight by country.
+    Else the sums are taken by customer and product id first, on the map side: only
+    these sums are shuffled, and the join sees each such pair once.
     """
-    columns = ["total", "descuento"] if with_discount else ["total"]
-    first = [total_of(), rows_of()]
-    again = [total_of(), _sum("n")]
-    if with_discount:
-        first += [_sum("descuento"), F.count("descuento").alias("n_descuento")]
-        again += [_sum("descuento"), _sum("n_descuento")]
-    rows = _by_country_and_product(star, *columns)
-    if star.is_small(DIM_PRODUCTO.table):
-        labelled = label(rows, star, DIM_PRODUCTO, "tipo_producto")
-        return labelled.groupBy("pais", "tipo_producto").agg(*first)
-    sums = rows.groupBy("pais", "id_producto").agg(*first)
+    first = [rows_of(), *map(_sum, measures), *[F.count(c).alias(f"n_{c}") for c in counted]]
+    again = [_sum("n"), *map(_sum, measures), *[_sum(f"n_{c}") for c in counted]]
+    places, few = _countries(star)
+    rows = star.fact_ventas.select("id_cliente", "id_producto", *measures)
+    if not few:
+        rows = rows.groupBy("id_cliente", "id_producto").agg(*first)
+    placed = join_dimension(rows, places, ["id_cliente"], few)
+    return placed.groupBy("pais", "id_producto").agg(*(first if few else again))
+
+
+def sums_by_country_and_category(star: Star, with_discount: bool = False) -> DataFrame:
+    """Total, rows and (if asked) discount sum and count by country and category."""
+    discount = ("descuento",) if with_discount else ()
+    sums = sums_by_country_and_product_id(star, "total", *discount, counted=discount)
     labelled = label(sums, star, DIM_PRODUCTO, "tipo_producto")
+    again = [total_of(), _sum("n"), *[_sum(c) for d in discount for c in (d, f"n_{d}")]]
     return labelled.groupBy("pais", "tipo_producto").agg(*again)
 
 
 def sums_by_country_and_product(star: Star) -> DataFrame:
     """Total by country and product; the join sees one row for each such pair."""
-    rows = _by_country_and_product(star, "total")
-    sums = rows.groupBy("pais", "id_producto").agg(total_of())
+    sums = sums_by_country_and_product_id(star, "total")
     return label(sums, star, DIM_PRODUCTO, "producto", "tipo_producto")
 
 
@@ -214,7 +224,7 @@ def yearly_growth(star: Star) -> DataFrame:
 
 def category_share(star: Star) -> DataFrame:
     """Q8: each category's share of all sales."""
-    everything = F.sum("total").over(Window.partitionBy())
+    everything = star.fact_ventas.agg(F.sum("total")).scalar()
     return (
         sums_by_category(star)
         .select(

@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from almacen import schemas
+from almacen.checks.catalog import CHECKS
 from almacen.checks.derived import derived
 from almacen.model import DIM_PRODUCTO
 from almacen.operators import joins
 from almacen.operators.dimensions import lookup_id
-from almacen.plans import cleaning_run, reports
+from almacen.plans import cleaning_run, explore, reports
+from almacen.sources.warehouse import Star
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -27,9 +29,9 @@ def star(spark):
     return derived(spark, SF_DIR).star
 
 
-@pytest.mark.parametrize("key", entry_points.queries())
+@pytest.mark.parametrize("key", CHECKS)
 def test_no_python_and_no_cross_join(spark, key):
-    plan = plan_of(entry_points.queries()[key](spark, SF_DIR))
+    plan = plan_of(CHECKS[key](spark, SF_DIR))
     for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan
 
@@ -51,6 +53,38 @@ def test_reports_sum_before_they_join(spark, star):
         assert plan.index("BroadcastHashJoin") < plan.rindex("HashAggregate")
 
 
+@pytest.mark.parametrize(
+    "report",
+    [
+        reports.category_by_country,
+        reports.revenue_rollup,
+        reports.best_product_by_country,
+        explore.country_category_sales,
+    ],
+)
+def test_large_dimensions_meet_sums_and_never_sales(spark, star, report):
+    """Customers and products too many to broadcast: the first shuffle carries partial sums."""
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {name: spark.conf.get(name, None) for name in settings}
+    unknown = Star(**{n: star.table(n) for n in schemas.WAREHOUSE})  # no row counts: nothing is small
+    try:
+        for name in settings:
+            spark.conf.set(name, "-1")
+        plan = plan_of(report(unknown))
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    lines = plan.splitlines()
+    fact = next(i for i, line in enumerate(lines) if "FileScan" in line and "total#" in line)
+    above = [line for line in lines[:fact] if "Exchange" in line or "partial_sum" in line]
+    assert "partial_sum" in above[-1]
+
+
+def test_quantiles_sort_and_gather_nothing(spark, star):
+    plan = plan_of(explore.sales_box_plot(star))
+    assert "Window" not in plan and "Sort" not in plan
+
+
 def test_filters_reach_the_scan(spark):
     plan = plan_of(entry_points.queries()["b23_filter"](spark, SF_DIR))
     pushed = re.search(r"PushedFilters: \[(.*?)\]", plan).group(1)

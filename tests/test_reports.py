@@ -184,14 +184,39 @@ def test_quantiles_match_numpy(random_star, probabilities):
     assert [r.quantile for r in sorted(found)] == pytest.approx(list(expected))
 
 
-def test_quantiles_hold_when_the_approximation_is_useless(random_star, monkeypatch):
+@pytest.mark.parametrize("digit", [1, 3, 60])
+def test_quantiles_do_not_depend_on_the_digit(random_star, monkeypatch, digit):
     loaded, changes = random_star
-    monkeypatch.setattr(distribution, "_MARGIN", 0.0)
+    monkeypatch.setattr(distribution, "DIGIT", digit)
     found = distribution.exact_quantiles(loaded.fact_ventas, "total", (0.25, 0.8)).collect()
     expected = np.quantile([c["total"] for c in changes], (0.25, 0.8))
     assert [r.quantile for r in sorted(found)] == pytest.approx(list(expected))
 
 
+def test_order_statistics_of_negative_and_repeated_values(spark):
+    draw = np.random.default_rng(2)
+    numbers = np.concatenate([draw.integers(-(10**17), 10**17, 200), np.full(300, -5), [7, 7]])
+    values = spark.createDataFrame([(int(v),) for v in numbers], "v long")
+    ranks = [0, 1, 99, 100, 250, 399, 400, 501]
+    low, high = int(numbers.min()), int(numbers.max())
+    found = distribution.order_statistics(values, low, high, ranks)
+    assert found == {rank: int(np.sort(numbers)[rank]) for rank in ranks}
+
+
+def test_quantiles_of_nothing_and_of_one_value(spark):
+    one = spark.createDataFrame([(money("3.50"),), (None,)], "total decimal(14,2)")
+    assert [tuple(r) for r in distribution.exact_quantiles(one, "total", (0.0, 0.9)).collect()] == [
+        (0.0, 3.5),
+        (0.9, 3.5),
+    ]
+    none = one.filter("total < 0")
+    assert distribution.exact_quantiles(none, "total", (0.5,)).count() == 0
+    row = distribution.box_plot(none, "total").first()
+    assert row.q1 is None and row.maximo is None and (row.filas, row.atipicos) == (0, 0)
+    with pytest.raises(TypeError):
+        distribution.exact_quantiles(one.select(F.col("total").cast("double")), "total", (0.5,))
+
+
 def test_box_plot(random_star):
     loaded, changes = random_star
     totals = np.array([c["total"] for c in changes])
