@@ -9,7 +9,7 @@ from almacen.checks import oracle_parts as o
 from almacen.checks.derived import Derived
 from almacen.checks.mapping import RAW_HEADERS, table
 from almacen.checks.registry import check
-from almacen.functions.dates import calendar_columns
+from almacen.functions.dates import calendar_columns, parse_date, voted_format
 from almacen.functions.text import clean_text, title_case, underscores_to_spaces
 from almacen.model import NULL_DEFAULTS, REQUIRED_COLUMNS
 from almacen.operators import boundary, cleaning, facts, profiling
@@ -38,6 +38,27 @@ def raw_scan(d: Derived) -> DataFrame:
     return d.raw
 
 
+@check(
+    "s01b_malformed_lines",
+    "select doc_id, true as mala from documents where doc_id % 3 = 1",
+)
+def malformed(d: Derived) -> DataFrame:
+    """Lines of long cells full of quotes: too many cells, too few, and just enough."""
+    docs = table(d.spark, d.sf_dir, "documents")
+    flat = F.regexp_replace("text", r"[\r\n]", " ")
+    cell = F.concat(F.lit('"'), F.replace(flat, F.lit('"'), F.lit('""')), F.lit('"'))
+    quotes = F.concat(F.lit('"'), F.repeat(F.lit('"",'), 5000), F.lit('"'))
+    rest = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit(","), quotes))
+    rest = rest.when(F.col("doc_id") % 3 == 1, F.lit(",b,c,d")).otherwise(F.lit(""))
+    path = f"{d.folder}/malformed_csv"
+    lines = docs.select(F.concat(F.col("doc_id").cast("string"), F.lit(","), cell, rest).alias("value"))
+    header = d.spark.createDataFrame([("a,b,c",)], "value string")
+    header.union(lines).coalesce(1).write.mode("overwrite").text(path)
+    bad = files.malformed_lines(d.spark, path)
+    key = F.substring_index("linea", ",", 1).cast("long").alias("doc_id")
+    return bad.select(key, F.lit(True).alias("mala"))
+
+
 @check("s02_clean_csv_scan", _with(o.UP_TO_ACCEPTED, f"select {o.CLEAN_OUTPUT} from accepted"))
 def clean_scan(d: Derived) -> DataFrame:
     rows = files.load_clean_csv(d.spark, d.clean_csv_path)
@@ -121,6 +142,42 @@ def dates(d: Derived) -> DataFrame:
     )
 
 
+_DATE_TEXT = """
+  case when o_orderkey % 10 < 6 then strftime(o_orderdate, '%d/%m/%Y')
+       when o_orderkey % 10 < 9 then strftime(o_orderdate, '%Y-%m-%d')
+       else strftime(o_orderdate, '%m.%d.%Y') end"""
+_VOTES = " union all ".join(
+    f"select '{f}' as f, count(try_strptime(texto, '{f}')) as n from texts"
+    for f in ("%Y-%m-%d", "%d/%m/%Y", "%m/%d/%Y", "%m.%d.%Y")
+)
+DATE_CANDIDATES = ("yyyy-MM-dd", "dd/MM/yyyy", "MM/dd/yyyy", "MM.dd.yyyy")
+
+
+@check(
+    "t07b_voted_dates",
+    f"""with texts as (select o_orderkey, {_DATE_TEXT} as texto from orders),
+        votes as ({_VOTES})
+        select o_orderkey, texto, (select arg_max(f, n) from votes) as formato,
+               strftime(try_strptime(texto, '%d/%m/%Y'), '%Y-%m-%d') as fecha
+        from texts""",
+)
+def voted_dates(d: Derived) -> DataFrame:
+    """Dates in three formats; the one that reads most of them is used for all."""
+    day = F.col("o_orderdate")
+    text = F.when(F.col("o_orderkey") % 10 < 6, F.date_format(day, "dd/MM/yyyy"))
+    text = text.when(F.col("o_orderkey") % 10 < 9, F.date_format(day, "yyyy-MM-dd"))
+    text = text.otherwise(F.date_format(day, "MM.dd.yyyy")).alias("texto")
+    rows = table(d.spark, d.sf_dir, "orders").select("o_orderkey", text)
+    winner = voted_format(rows, "texto", DATE_CANDIDATES)
+    shown = winner.replace("dd", "%d").replace("MM", "%m").replace("yyyy", "%Y")
+    return rows.select(
+        "o_orderkey",
+        "texto",
+        F.lit(shown).alias("formato"),
+        parse_date(F.col("texto"), [winner]).alias("fecha"),
+    )
+
+
 @check(
     "t08_calendar",
     """select o_orderkey, cast(year(o_orderdate) as bigint) as year,
@@ -235,6 +292,29 @@ def pipeline(d: Derived) -> DataFrame:
     return cleaning_run.clean(d.raw)
 
 
+_RAW_REASON = f"""
+  case when coalesce({o.parsed_number("total")}, 0) <= 0 then 'non_positive_total'
+       when try_strptime(fecha, '%Y-%m-%d') is null or producto is null
+         or {o.parsed_number("cantidad")} is null or {o.parsed_number("precio_unitario")} is null
+         then 'null_critical_column' end"""
+_RAW_CELLS = ("fecha", "producto", "cantidad", "precio_unitario", "total")
+
+
+@check(
+    "f04b_rejected_rows",
+    _with(
+        o.RAW,
+        f"""select motivo, {", ".join(_RAW_CELLS)}, count(*) as copias
+            from (select *, {_RAW_REASON} as motivo from raw) r where motivo is not null group by all""",
+    ),
+)
+def rejected_rows(d: Derived) -> DataFrame:
+    """What the run left out, with the offending cells as the file has them."""
+    cells = [F.col(f"celdas.{c}").alias(c) for c in _RAW_CELLS]
+    rows = d.cleaning.rejected.select("motivo", *cells, "copias")
+    return rows.groupBy("motivo", *_RAW_CELLS).agg(F.sum("copias").alias("copias"))
+
+
 # --- load boundary -----------------------------------------------------------------
 
 
@@ -283,7 +363,7 @@ def tokens(d: Derived) -> DataFrame:
     ),
 )
 def audit(d: Derived) -> DataFrame:
-    return profiling.cleaning_audit(cleaning_run.prepare(d.raw))
+    return d.cleaning.audit
 
 
 _TYPES = {c: "double" for c in o.MEASURES} | {"fecha": "timestamp_ntz"}
@@ -313,7 +393,7 @@ _REMAINING = " + ".join(f"count(*) - count({c})" for c in RAW_HEADERS if c not i
     ),
 )
 def filled(d: Derived) -> DataFrame:
-    return profiling.filled_nulls(cleaning.derive_columns(_unique(d)), NULL_DEFAULTS)
+    return d.cleaning.filled
 
 
 @check(

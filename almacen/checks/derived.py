@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almacen.checks import mapping
-from almacen.plans.cleaning_run import run_cleaning
+from almacen.plans.cleaning_run import CleaningRun, run_cleaning
 from almacen.plans.star_load import load_star
 from almacen.sources import files
 from almacen.sources.warehouse import Star, Warehouse
@@ -77,10 +77,16 @@ class Derived:
         return files.load_raw(self.spark, self.raw_path)
 
     @cached_property
-    def cleaned(self) -> DataFrame:
-        """The raw file cleaned by the cleaning run."""
+    def cleaning(self) -> CleaningRun:
+        """The cleaning run over the raw file: clean and rejected rows and the audit."""
         return run_cleaning(self.spark, self.raw_path, f"{self.folder}/clean")
 
+    @cached_property
+    def cleaned(self) -> DataFrame:
+        """The clean dataset that the cleaning run stored."""
+        assert self.cleaning
+        return self.spark.read.parquet(f"{self.folder}/clean")
+
     @cached_property
     def clean_csv_path(self) -> str:
         path = f"{self.folder}/clean_csv"

@@ -23,21 +23,22 @@ def cleaning_audit(typed: DataFrame, rules: CleaningRules = RULES) -> DataFrame:
     """
     reason = rejection_reason(rules)
     kept = [F.when(reason.isNull(), F.col(c)).alias(c) for c in typed.columns]
-    groups = (
-        typed.select(reason.alias("_reason"), *kept)
-        .groupBy("_reason", *typed.columns)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    rows = F.coalesce(F.col("_rows"), F.lit(0))
-    stays = F.col("_reason").isNull()
+    groups = typed.select(reason.alias("motivo"), *kept).groupBy("motivo", *typed.columns)
+    return audit_of_groups(groups.agg(F.count(F.lit(1)).alias("copias")))
+
+
+def audit_of_groups(groups: DataFrame) -> DataFrame:
+    """The same from groups of equal rows that are there already: ``motivo`` and ``copias``."""
+    rows = F.coalesce(F.col("copias"), F.lit(0))
+    stays = F.col("motivo").isNull()
 
     def total(test, value, name):
         return F.coalesce(F.sum(F.when(test, value)), F.lit(0)).cast("long").alias(name)
 
     return groups.agg(
         total(F.lit(True), rows, "leidas"),
-        total(F.col("_reason") == NOT_POSITIVE, rows, "total_no_positivo"),
-        total(F.col("_reason") == CRITICAL_NULL, rows, "critica_nula"),
+        total(F.col("motivo") == NOT_POSITIVE, rows, "total_no_positivo"),
+        total(F.col("motivo") == CRITICAL_NULL, rows, "critica_nula"),
         total(stays, rows - 1, "duplicadas"),
         total(stays, F.lit(1), "limpias"),
     )
@@ -83,18 +84,29 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def unique_members(df: DataFrame, dimensions: Sequence[Dimension]) -> DataFrame:
-    """Number of distinct members of each dimension in the data."""
-    parts = [
-        df.select(*d.natural_key)
-        .dropDuplicates()
-        .agg(F.count(F.lit(1)).alias("miembros"))
-        .select(F.lit(d.table).alias("dimension"), "miembros")
-        for d in dimensions
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    """Number of distinct members of each dimension in the data, from one pass over it.
+
+    The dimensions' keys are grouped side by side, so the copies of a member collapse on
+    the map side; what is counted afterwards are members.
+    """
+    keys = list(dict.fromkeys(c for d in dimensions for c in d.natural_key))
+    names = F.array(*[F.lit(d.table) for d in dimensions])
+    # Which dimension a group is of: a column it groups by is set, one it does not is null by design.
+    groups = df.groupingSets([list(d.natural_key) for d in dimensions], *keys)
+    numbers = {_grouping_number(keys, d.natural_key): i for i, d in enumerate(dimensions)}
+    if len(numbers) < len(dimensions):
+        raise ValueError("dimensions with the same key")
+    place = F.lit(None).cast("int")
+    for number, i in numbers.items():
+        place = F.when(F.grouping_id(*keys) == number, i).otherwise(place)
+    members = groups.agg(place.alias("_place"))
+    counts = members.groupBy("_place").agg(F.count(F.lit(1)).alias("miembros"))
+    return counts.select(names[F.col("_place")].alias("dimension"), "miembros")
+
+
+def _grouping_number(columns: Sequence[str], grouped: Sequence[str]) -> int:
+    """grouping_id of the set: a bit for each column, the first highest, set where it is not grouped."""
+    return int("".join("0" if c in grouped else "1" for c in columns), 2)
 
 
 def load_audit(rejected: DataFrame) -> DataFrame:

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
+import uuid
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almacen.functions.dates import parse_date
+from almacen.functions.dates import voted_format
 from almacen.model import CleaningRules
 from almacen.operators import cleaning as c
+from almacen.operators import profiling
 from almacen.sources import files
+from almacen.sources.workspace import shared_folder
 
 RULES = c.RULES
 
@@ -57,13 +61,90 @@ def rejected(raw: DataFrame, rules: CleaningRules = RULES) -> DataFrame:
     return prepare(raw, rules).withColumn("motivo", reason).filter(F.col("motivo").isNotNull())
 
 
-def _refuse_unreadable_dates(raw: DataFrame, rules: CleaningRules) -> None:
-    dates = c.normalise_names(raw).select(F.col(rules.date).alias("given"))
-    dates = dates.withColumn("read", parse_date(F.col("given"), rules.date_formats))
-    given, read = dates.agg(F.count("given"), F.count("read")).first()
+def grouped(raw: DataFrame, rules: CleaningRules = RULES) -> DataFrame:
+    """Every row of the file, typed, with ``motivo``, ``celdas`` and ``copias``.
+
+    motivo says why a row is left out and is null where it stays; celdas holds the
+    cells as they were read, of rows left out only; copias counts equal rows. The
+    copies collapse on the map side, so the one shuffle carries distinct rows.
+    """
+    named = c.normalise_names(raw)
+    cells = F.struct(*[F.col(name) for name in named.columns]).alias("_celdas")
+    typed = _standardise(named.select("*", cells), rules)
+    reason = typed.withColumn("motivo", c.rejection_reason(rules))
+    celdas = F.when(F.col("motivo").isNotNull(), F.col("_celdas"))
+    rows = reason.withColumn("celdas", celdas).drop("_celdas")
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copias"))
+
+
+@dataclass(frozen=True)
+class CleaningRun:
+    """What one pass over a raw file gave: every output is read from ``rows`` (see ``grouped``)."""
+
+    rows: DataFrame
+    rules: CleaningRules = RULES
+
+    def _typed(self) -> DataFrame:
+        return self.rows.filter("motivo is null").drop("motivo", "celdas", "copias")
+
+    @property
+    def clean(self) -> DataFrame:
+        return (
+            self._typed()
+            .transform(c.derive_columns, self.rules)
+            .transform(c.fill_nulls, self.rules)
+            .transform(c.order_columns, self.rules)
+        )
+
+    @property
+    def rejected(self) -> DataFrame:
+        """The rows left out, each once with its reason, its cells as read and its copies."""
+        return self.rows.filter("motivo is not null")
+
+    @property
+    def audit(self) -> DataFrame:
+        """Row counts of the stages, one row: read, left out by reason, duplicates, kept."""
+        return profiling.audit_of_groups(self.rows)
+
+    @property
+    def filled(self) -> DataFrame:
+        """Nulls that defaults filled, by column, and nulls that remain in all others."""
+        unique = c.derive_columns(self._typed(), self.rules)
+        return profiling.filled_nulls(unique, self.rules.null_defaults)
+
+
+def _refuse_unreadable_dates(run: CleaningRun) -> None:
+    """An error where there are dates and none could be read; only for runs that kept no row."""
+    date = run.rules.date
+    given, read = run.rejected.agg(F.count(f"celdas.{date}"), F.count(date)).first()
     if given and not read:
-        formats = ", ".join(rules.date_formats)
-        raise ValueError(f"all {given} values of {rules.date} are unreadable as {formats}")
+        formats = ", ".join(run.rules.date_formats)
+        rows = run.rejected.agg(F.sum(F.when(F.col(f"celdas.{date}").isNotNull(), F.col("copias"))))
+        raise ValueError(f"all {rows.first()[0]} values of {date} are unreadable as {formats}")
+
+
+def clean_once(
+    spark: SparkSession,
+    raw_path: str,
+    run_path: str,
+    rules: CleaningRules = RULES,
+    multiline: bool = False,
+    date_candidates: Sequence[str] | None = None,
+) -> CleaningRun:
+    """Read and clean the file at ``raw_path`` once, and keep every row of it at ``run_path``.
+
+    With ``date_candidates`` all dates vote on their format first, which reads the
+    file's dates once more. A file with dates of which none is readable is an error.
+    """
+    raw = files.load_raw(spark, raw_path, multiline, rules.na_tokens)
+    if date_candidates:
+        winner = voted_format(c.normalise_names(raw), rules.date, date_candidates)
+        rules = replace(rules, date_formats=(winner,))
+    grouped(raw, rules).write.mode("overwrite").parquet(run_path)
+    run = CleaningRun(spark.read.parquet(run_path), rules)
+    if run.rows.filter("motivo is null").isEmpty():
+        _refuse_unreadable_dates(run)
+    return run
 
 
 def run_cleaning(
@@ -73,15 +154,16 @@ def run_cleaning(
     rules: CleaningRules = RULES,
     multiline: bool = False,
     rejected_path: str | None = None,
-) -> DataFrame:
-    """Clean the file at ``raw_path`` into ``clean_path`` and return the stored dataset.
+    run_path: str | None = None,
+    date_candidates: Sequence[str] | None = None,
+) -> CleaningRun:
+    """Clean the file at ``raw_path`` into ``clean_path``; the run has the audit and the rejects.
 
-    A file with dates of which none is in a declared format is an error.
+    The rows of the run are kept at ``run_path``, by default in the session's work folder.
     """
-    raw = files.load_raw(spark, raw_path, multiline, rules.na_tokens)
-    files.export_clean(clean(raw, rules), clean_path)
-    if spark.read.parquet(clean_path).isEmpty():
-        _refuse_unreadable_dates(raw, rules)
+    run_path = run_path or f"{shared_folder(spark)}/cleaning-{uuid.uuid4().hex}"
+    run = clean_once(spark, raw_path, run_path, rules, multiline, date_candidates)
+    files.export_clean(run.clean, clean_path)
     if rejected_path:
-        rejected(raw, rules).write.mode("overwrite").parquet(rejected_path)
-    return spark.read.parquet(clean_path)
+        run.rejected.write.mode("overwrite").parquet(rejected_path)
+    return run

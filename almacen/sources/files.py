@@ -11,8 +11,6 @@ from almacen.model import NA_TOKENS
 
 
 _LINE = "_line"
-#: A cell in quotes, from where it starts.
-_QUOTED = r'(^|,)\s*"([^"]|"")*"'
 
 
 def _cells_of(spark: SparkSession, path: str, multiline: bool) -> tuple[DataFrame, list[str]]:
@@ -29,13 +27,42 @@ def _cells_of(spark: SparkSession, path: str, multiline: bool) -> tuple[DataFram
     return reader.option("columnNameOfCorruptRecord", _LINE).schema(schema).csv(path), header
 
 
+def _commas_outside_quotes(line: Column) -> Column:
+    """Commas that separate cells: those outside of cells in quotes.
+
+    The text between two quotes is taken one piece after the other, with what is known
+    so far, so cells of any length and with any number of quotes need no recursion. A
+    quote opens a cell only where nothing but white space stands before it in the cell;
+    two quotes inside are one.
+    """
+    start = F.struct(
+        F.lit(0).alias("commas"),
+        F.lit(False).alias("inside"),
+        F.lit(False).alias("closed"),
+        F.lit(True).alias("blank"),
+    )
+
+    def next_piece(seen: Column, piece: Column) -> Column:
+        commas = F.length(piece) - F.length(F.replace(piece, F.lit(",")))
+        tail = F.length(F.btrim(F.substring_index(piece, ",", -1), F.lit(" \t\r\n"))) == 0
+        blank = F.when(commas > 0, tail).otherwise(seen["blank"] & tail)
+        doubled = seen["closed"] & (F.length(piece) == 0)
+        return F.struct(
+            (seen["commas"] + F.when(seen["inside"], 0).otherwise(commas)).alias("commas"),
+            (~seen["inside"] & (blank | doubled)).alias("inside"),
+            seen["inside"].alias("closed"),
+            F.lit(False).alias("blank"),
+        )
+
+    return F.aggregate(F.split(line, '"'), start, next_piece, lambda seen: seen["commas"])
+
+
 def _malformed(columns: int, multiline: bool) -> Column:
     """Whether a line has more cells than the header, or a quote that it does not close."""
-    outside = F.regexp_replace(F.coalesce(F.col(_LINE), F.lit("")), _QUOTED, "$1")
-    extra = F.length(outside) - F.length(F.replace(outside, F.lit(","))) >= columns
-    odd = lambda c: F.regexp_count(c, F.lit('"')) % 2 == 1
+    line = F.coalesce(F.col(_LINE), F.lit(""))
+    extra = _commas_outside_quotes(line) >= columns
     # A cell left open at the end of a complete line shows in the next one, which closes it.
-    bad = extra if multiline else extra | odd(F.coalesce(F.col(_LINE), F.lit("")))
+    bad = extra if multiline else extra | (F.regexp_count(line, F.lit('"')) % 2 == 1)
     # Always true; it keeps all cells in the scan, which counts those it is asked for only.
     return bad & (F.length(F.concat_ws("", *[f"_{i}" for i in range(columns)])) >= 0)
 

@@ -7,6 +7,8 @@ import datetime
 import pytest
 from builders import BASE, raw
 
+from almacen.checks.derived import derived
+from almacen.functions import dates
 from almacen.model import CLEAN_COLUMNS, NULL_DEFAULTS
 from almacen.operators import boundary, cleaning, profiling
 from almacen.plans import cleaning_run
@@ -213,6 +215,52 @@ def test_malformed_lines_are_an_error_and_listed(spark, tmp_path, line):
         files.load_raw(spark, str(path)).select("a").collect()
 
 
+def test_cells_of_a_million_quotes_need_no_recursion(spark, tmp_path):
+    path = tmp_path / "raw.csv"
+    cell = '"' + '"",' * 350_000 + '"'
+    plain = '"' + "y" * 1_000_000 + '"'
+    lines = [f"1,{cell}", f"2,{plain}", f"3,{cell},5", f"4,{cell},5,6", f"5,{plain},5,6"]
+    path.write_text("a,b,c\n" + "\n".join(lines) + "\n", encoding="utf-8")
+    bad = files.malformed_lines(spark, str(path)).collect()
+    assert sorted(r.linea[0] for r in bad) == ["4", "5"]
+
+
+@pytest.mark.parametrize("order", [1, 7])
+def test_dates_vote_on_their_format(spark, order):
+    texts = ["31/12/2023", "01/02/2024", "2024-01-15", None, "13/01/2024", "02-2024"]
+    rows = spark.createDataFrame([(t,) for t in texts], "d string").repartition(order)
+    formats = ("yyyy-MM-dd", "MM/dd/yyyy", "dd/MM/yyyy")
+    assert dates.voted_format(rows, "d", formats) == "dd/MM/yyyy"
+    with pytest.raises(ValueError, match="may be read as MM/dd/yyyy or dd/MM/yyyy"):
+        dates.voted_format(rows.filter("d = '01/02/2024'"), "d", formats)
+    assert dates.voted_format(rows.filter("d = '2024-01-15'"), "d", ("yyyy-MM-dd", "yyyy-M-d")) == "yyyy-MM-dd"
+    with pytest.raises(ValueError, match="all 1 values of d are unreadable"):
+        dates.voted_format(rows.filter("d = '02-2024'"), "d", formats)
+
+
+def test_a_file_is_read_in_the_format_its_dates_vote_for(spark, tmp_path):
+    header = ",".join(c.upper().replace("_", " ") for c in BASE)
+    line = ",".join({**BASE, "fecha": "15/01/2024"}.values())
+    (tmp_path / "raw.csv").write_text(f"{header}\n{line}\n{line}\n", encoding="utf-8")
+    run = cleaning_run.run_cleaning(
+        spark,
+        str(tmp_path / "raw.csv"),
+        str(tmp_path / "clean"),
+        date_candidates=("yyyy-MM-dd", "dd/MM/yyyy", "MM/dd/yyyy"),
+    )
+    assert [str(r.fecha)[:10] for r in run.clean.collect()] == ["2024-01-15"]
+    assert run.audit.first().duplicadas == 1
+
+
+def test_the_raw_file_is_scanned_once(spark, tmp_path):
+    plan = cleaning_run.grouped(files.load_raw(spark, derived(spark, "/root/testdata/sf0.001").raw_path))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan csv") == 1 and text.count("Exchange") == 1
+    run = derived(spark, "/root/testdata/sf0.001").cleaning
+    for output in (run.clean, run.rejected, run.audit, run.filled):
+        assert "FileScan csv" not in output._jdf.queryExecution().executedPlan().toString()
+
+
 def test_short_lines_are_padded(spark, tmp_path):
     path = tmp_path / "raw.csv"
     path.write_text('a,b`x,c\n1,"x,y",2\nshort\n1,"a,b"\n', encoding="utf-8")
@@ -239,13 +287,21 @@ def test_cleaning_run_from_file_to_stored_dataset(spark, tmp_path):
     lines = [header, ",".join(BASE.values()), ",".join({**BASE, "total": "-1"}.values())]
     (tmp_path / "raw.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
     for _ in range(2):  # replaces its output
-        stored = cleaning_run.run_cleaning(
+        run = cleaning_run.run_cleaning(
             spark,
             str(tmp_path / "raw.csv"),
             str(tmp_path / "clean"),
             rejected_path=str(tmp_path / "rejected"),
+            run_path=str(tmp_path / "run"),
         )
+        stored = spark.read.parquet(str(tmp_path / "clean"))
         assert stored.count() == 1 and stored.columns == list(CLEAN_COLUMNS)
+    assert sorted(run.clean.collect()) == sorted(stored.collect())
+    assert run.audit.first().asDict() == {
+        "leidas": 2, "total_no_positivo": 1, "critica_nula": 0, "duplicadas": 0, "limpias": 1
+    }
+    left_out = run.rejected.first()
+    assert (left_out.motivo, left_out.celdas.total, left_out.copias) == ("non_positive_total", "-1", 1)
     assert spark.read.parquet(str(tmp_path / "rejected")).first().motivo == "non_positive_total"
     files.export_clean_csv(stored, str(tmp_path / "csv"))
     back = boundary.type_clean_columns(files.load_clean_csv(spark, str(tmp_path / "csv")))
