@@ -98,21 +98,35 @@ def members(d: Derived) -> DataFrame:
 
 
 _OLDER = "(select * from sales where fecha < date '%s')" % mapping.RECENT
+_CLIENTE = ["tipo_cliente", "segmento_cliente", "tipo_venta", "id_region"]
+
+
+def _grown(name: str, id_column: str, keys: list[str], old: str, every: str) -> str:
+    """A dimension loaded from the rows ``old`` and then from ``every``: new members follow."""
+    named = ", ".join(keys)
+    late = f"(select distinct {named} from {every} e anti join older_{name} using ({named})) n"
+    return ", ".join(
+        [
+            o.numbered(f"older_{name}", id_column, keys, old),
+            o.numbered(f"late_{name}", id_column, keys, late, f"(select max({id_column}) from older_{name})"),
+            f"""grown_{name} as (
+                select * from older_{name} union all by name select * from late_{name})""",
+        ]
+    )
+
+
+_PLACED = "%s p join grown_dim_region using (ciudad, pais)"
 _GROWN_SQL = f"""
 with {o.SALES},
-{o.numbered("older_producto", "id", ["producto", "tipo_producto"], _OLDER)},
-{o.numbered("older_fecha", "id", ["fecha"], _OLDER)},
-new_producto as (select distinct producto, tipo_producto from sales
-                 anti join older_producto using (producto, tipo_producto)),
-new_fecha as (select distinct fecha from sales anti join older_fecha using (fecha)),
-{o.numbered("late_producto", "id", ["producto", "tipo_producto"], "new_producto",
-            "(select max(id) from older_producto)")},
-{o.numbered("late_fecha", "id", ["fecha"], "new_fecha", "(select max(id) from older_fecha)")}
-select 'dim_producto' as dimension, cast(id as bigint) as id, {_KEY_SQL["dim_producto"]} as clave
-from (select * from older_producto union all by name select * from late_producto) p
-union all
-select 'dim_fecha', cast(id as bigint), {_KEY_SQL["dim_fecha"]}
-from (select * from older_fecha union all by name select * from late_fecha) f"""
+{_grown("dim_region", "id_region", ["ciudad", "pais"], _OLDER + " s", "sales")},
+{_grown("dim_cliente", "id_cliente", _CLIENTE, _PLACED % _OLDER, f"(select * from {_PLACED % 'sales'})")},
+{_grown("dim_producto", "id_producto", ["producto", "tipo_producto"], _OLDER + " s", "sales")},
+{_grown("dim_fecha", "id_fecha", ["fecha"], _OLDER + " s", "sales")}
+""" + " union all ".join(
+    f"select '{d.table}' as dimension, cast({d.id_column} as bigint) as id, "
+    f"{_KEY_SQL[d.table]} as clave from grown_{d.table}"
+    for d in DIMENSIONS
+)
 
 
 @check("d02_insert_if_absent", _GROWN_SQL)
@@ -120,7 +134,7 @@ def grown(d: Derived) -> DataFrame:
     """Loaded with the older sales, then with all: old ids stay, new ones follow."""
     return _union(
         _keys(d.grown.table(m.table), m, F.col(m.id_column).alias("id"))
-        for m in (DIM_PRODUCTO, DIM_FECHA)
+        for m in DIMENSIONS
     )
 
 

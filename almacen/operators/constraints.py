@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from almacen import schemas
-from almacen.model import DIMENSIONS, FACT_TABLE
+from almacen.model import DIMENSIONS, FACT_KEYS, FACT_TABLE
 from almacen.sources.warehouse import Star
 
 
@@ -63,40 +63,67 @@ def column_checks(
     ).filter(F.col("filas") > 0)
 
 
-def dimension_violations(star: Star) -> list[DataFrame]:
+def dimension_violations(tables: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """Checks of the dimension tables alone, by table name."""
     found = []
     for d in DIMENSIONS:
-        table = star.table(d.table)
+        table = tables[d.table]
         required = [f.name for f in schemas.WAREHOUSE[d.table].fields if not f.nullable]
         found += [
             not_unique(table, d.table, [d.id_column]),
             not_unique(table, d.table, d.natural_key),
             column_checks(table, d.table, required, schemas.TEXT_LENGTHS[d.table]),
         ]
-    region = star.dim_region
-    found.append(orphans(star.dim_cliente, "dim_cliente", "id_region", region, "id_region"))
+    client, region = tables["dim_cliente"], tables["dim_region"]
+    found.append(orphans(client, "dim_cliente", "id_region", region, "id_region"))
     return found
 
 
+def fact_column_violations(star: Star) -> DataFrame:
+    """Nulls and lengths of the fact, from one scan."""
+    required = [f.name for f in schemas.WAREHOUSE[FACT_TABLE].fields if not f.nullable]
+    return column_checks(star.fact_ventas, FACT_TABLE, required, schemas.TEXT_LENGTHS[FACT_TABLE])
+
+
+def fact_orphans(star: Star) -> DataFrame:
+    """Ids of the fact without a member, all three from one scan.
+
+    The ids are grouped side by side and collapse on the map side; only distinct ones
+    meet the members.
+    """
+    columns = list(FACT_KEYS)
+    groups = star.fact_ventas.groupingSets([[c] for c in columns], *columns)
+    which = F.lit(None).cast("string")
+    for c in columns:
+        which = F.when(F.grouping(c) == 0, c).otherwise(which)
+    ids = groups.agg(which.alias("_column"), F.count(F.lit(1)).alias("_rows"))
+    ids = ids.select("_column", F.coalesce(*columns).alias("_id"), "_rows").filter("_id is not null")
+    members = union(
+        [star.table(d.table).select(F.lit(d.id_column).alias("_column"), F.col(d.id_column).alias("_id"))
+         for d in DIMENSIONS if d.id_column in columns]
+    )
+    lost = ids.join(members, ["_column", "_id"], "left_anti")
+    return lost.select(
+        F.lit(FACT_TABLE).alias("tabla"),
+        F.concat(F.lit("foreign_key("), "_column", F.lit(")")).alias("restriccion"),
+        F.col("_id").cast("string").alias("clave"),
+        F.col("_rows").cast("long").alias("filas"),
+    )
+
+
 def fact_violations(star: Star, row_ids: bool = True) -> list[DataFrame]:
     """``row_ids`` also checks that ``id_venta`` is unique, the one check that
     shuffles a value for each sale; the loader, which generates it, leaves it out."""
-    fact = star.fact_ventas
-    required = [f.name for f in schemas.WAREHOUSE[FACT_TABLE].fields if not f.nullable]
-    found = [
-        column_checks(fact, FACT_TABLE, required, schemas.TEXT_LENGTHS[FACT_TABLE]),
-        orphans(fact, FACT_TABLE, "id_fecha", star.dim_fecha, "id_fecha"),
-        orphans(fact, FACT_TABLE, "id_producto", star.dim_producto, "id_producto"),
-        orphans(fact, FACT_TABLE, "id_cliente", star.dim_cliente, "id_cliente"),
-    ]
+    found = [fact_column_violations(star), fact_orphans(star)]
     if row_ids:
-        found.append(not_unique(fact, FACT_TABLE, ["id_venta"]))
+        found.append(not_unique(star.fact_ventas, FACT_TABLE, ["id_venta"]))
     return found
 
 
 def star_violations(star: Star, row_ids: bool = True) -> DataFrame:
     """Every constraint of the star schema; no rows when all hold."""
-    return union(dimension_violations(star) + fact_violations(star, row_ids))
+    tables = {d.table: star.table(d.table) for d in DIMENSIONS}
+    return union(dimension_violations(tables) + fact_violations(star, row_ids))
 
 
 def union(checks: Sequence[DataFrame]) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,9 @@ from almacen import schemas
 from almacen.model import DIM_CLIENTE, DIM_FECHA, DIM_PRODUCTO, DIM_REGION, FACT_TABLE
 from almacen.operators import boundary, constraints, dimensions, facts
 from almacen.operators.joins import fits, join_dimension
-from almacen.sources.warehouse import Star, Staging, Warehouse
+from almacen.sources import files
+from almacen.sources.warehouse import PublishConflict, Star, Staging, Warehouse
+from almacen.sources.workspace import shared_folder
 
 # A customer profile by its labels: the dimension's key with the region spelled out.
 _PROFILE = ["tipo_cliente", "segmento_cliente", "tipo_venta", "ciudad", "pais"]
@@ -20,8 +23,12 @@ _PROFILE_LENGTHS = schemas.TEXT_LENGTHS["dim_cliente"] | schemas.TEXT_LENGTHS["d
 
 @dataclass(frozen=True)
 class LoadResult:
+    """The published version, the rows of its tables, the sales read, and those left out by stage."""
+
     version: int
     rows: dict[str, int]
+    read: int = 0
+    left_out: dict[str, int] = field(default_factory=dict)
 
 
 def incoming(clean: DataFrame) -> DataFrame:
@@ -49,7 +56,7 @@ def _distinct_keys(sales: DataFrame) -> DataFrame:
     product = list(DIM_PRODUCTO.natural_key)
     groups = sales.groupingSets([_PROFILE, product, calendar], *_PROFILE, *product, *calendar)
     kind = F.when(F.grouping("ciudad") == 0, "profile").when(F.grouping("producto") == 0, "product")
-    return groups.agg(kind.otherwise("date").alias("kind"))
+    return groups.agg(kind.otherwise("date").alias("kind"), F.count(F.lit(1)).alias("ventas"))
 
 
 def _load_profiles(profiles: DataFrame, existing: Star | None, staging: Staging) -> DataFrame:
@@ -82,24 +89,45 @@ def with_ids(sales: DataFrame, existing: Star | None, staging: Staging) -> DataF
     return identified
 
 
-def load_star(clean: DataFrame, warehouse: Warehouse, check_fact: bool = True) -> LoadResult:
+def load_star(
+    clean: DataFrame, warehouse: Warehouse, check_fact: bool = True, attempts: int = 5
+) -> LoadResult:
     """Merge the dimensions, replace the fact, check, publish.
 
     ``clean`` is read twice, for the dimensions and for the fact; give it as a
     stored dataset, not as the plan that cleans it. Members already known
-    keep their ids and stay, also when no sale names them any more.
+    keep their ids and stay, also when no sale names them any more. If another load
+    publishes meanwhile, this one starts again from that load's members.
     """
-    existing = warehouse.read()
+    for attempt in range(attempts):
+        try:
+            return _load_once(clean, warehouse, check_fact)
+        except PublishConflict:
+            if attempt == attempts - 1:
+                raise
+    raise ValueError("no attempts")
+
+
+def _load_once(clean: DataFrame, warehouse: Warehouse, check_fact: bool) -> LoadResult:
+    after = warehouse.version()
+    existing = warehouse.read(after) if after else None
     staging = warehouse.stage()
-    sales = boundary.drop_incomplete(incoming(clean))
-    fact = facts.fact_rows(with_ids(sales, existing, staging))
-    staging.write(FACT_TABLE, facts.number_rows(fact))
+    arrived = incoming(clean)
+    sales = boundary.drop_incomplete(arrived)
+    identified = with_ids(sales, existing, staging)
+    # Before any sale is joined: a member that breaks a rule stops the load here.
+    checks = constraints.dimension_violations(staging.dimensions())
+    constraints.enforce(constraints.union(checks), f"{staging.folder}/violations")
+    staging.write(FACT_TABLE, facts.number_rows(facts.fact_rows(identified)))
     star = staging.star()
-    checks = constraints.dimension_violations(star)
     if check_fact:
-        checks += constraints.fact_violations(star, row_ids=False)
-    constraints.enforce(constraints.union(checks), f"{staging.folder}/violations")
-    return LoadResult(warehouse.publish(staging), star.rows)
+        # Ids come from the members just checked, so only the fact's own columns are left.
+        violations = constraints.fact_column_violations(star)
+        constraints.enforce(violations, f"{staging.folder}/fact_violations")
+    complete = staging.read("keys").filter("kind = 'date'").agg(F.sum("ventas")).first()[0] or 0
+    read = clean.count()
+    left_out = {"incomplete": read - complete, "null measure": complete - star.rows[FACT_TABLE]}
+    return LoadResult(warehouse.publish(staging, after), star.rows, read, left_out)
 
 
 def rejected(clean: DataFrame, star: Star) -> DataFrame:
@@ -115,6 +143,15 @@ def rejected(clean: DataFrame, star: Star) -> DataFrame:
     return incomplete.select(*columns).unionByName(unloaded.select(*columns))
 
 
-def run_load(spark: SparkSession, clean_path: str, warehouse_path: str) -> LoadResult:
-    """Load the clean dataset at ``clean_path`` into the warehouse at ``warehouse_path``."""
+def run_load(
+    spark: SparkSession, clean_path: str, warehouse_path: str, csv: bool = False, multiline: bool = False
+) -> LoadResult:
+    """Load the clean dataset at ``clean_path`` into the warehouse at ``warehouse_path``.
+
+    ``csv`` takes a clean CSV export, typed once into the session's work folder.
+    """
+    if csv:
+        typed = boundary.type_clean_columns(files.load_clean_csv(spark, clean_path, multiline))
+        clean_path = f"{shared_folder(spark)}/clean-{uuid.uuid4().hex}"
+        files.export_clean(typed, clean_path)
     return load_star(spark.read.parquet(clean_path), Warehouse(spark, warehouse_path))

@@ -3,19 +3,22 @@
 A load writes all its tables into a folder of its own and then appends one
 row to the publication log. Readers look up the log, so they see either all
 tables of a load or none, and a load that dies half-way leaves the published
-version as it was. One loader at a time is assumed.
+version as it was. Loads may overlap: each claims the number after the version
+it was built on, one of them gets it, and the others build on the winner's tables.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from almacen import schemas
-from almacen.model import STAR_TABLES
+from almacen.model import DIMENSIONS, STAR_TABLES
 from almacen.operators.joins import fits
 
 _LOG_SCHEMA = "version int, folder string, filas map<string, bigint>"
@@ -63,6 +66,9 @@ class Staging:
     def is_small(self, name: str) -> bool:
         return fits(self.rows.get(name), schemas.WAREHOUSE[name], schemas.TEXT_LENGTHS[name])
 
+    def dimensions(self) -> dict[str, DataFrame]:
+        return {d.table: self.read(d.table) for d in DIMENSIONS}
+
     def star(self) -> Star:
         counts = {name: self.rows[name] for name in STAR_TABLES}
         return Star(**{name: self.read(name) for name in STAR_TABLES}, rows=counts)
@@ -81,9 +87,13 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
 
+    def _log(self) -> DataFrame:
+        log = self.spark.read.schema(_LOG_SCHEMA).json(f"{self.root}/published")
+        return log.filter("version is not null")  # a number is claimed before its row is there
+
     def _published(self, version: int | None) -> Row | None:
         try:
-            log = self.spark.read.schema(_LOG_SCHEMA).json(f"{self.root}/published")
+            log = self._log()
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
@@ -109,10 +119,47 @@ class Warehouse:
     def stage(self) -> Staging:
         return Staging(self.spark, f"{self.root}/loads/{uuid.uuid4().hex}")
 
-    def publish(self, staging: Staging) -> int:
-        version = self.version() + 1
+    def publish(self, staging: Staging, after: int | None = None) -> int:
+        """Append a version to the log and return its number.
+
+        The number is claimed by creating its log file, which only one loader can. A load
+        that merged its dimensions with version ``after`` may only become the next one:
+        if another load has taken that number, PublishConflict says so.
+        """
+        version = (self.version() if after is None else after) + 1
         folder = staging.folder[len(self.root) + 1 :]
         counts = {name: staging.rows[name] for name in STAR_TABLES}
-        row = self.spark.createDataFrame([(version, folder, counts)], _LOG_SCHEMA)
-        row.coalesce(1).write.mode("append").json(f"{self.root}/published")
+        entry = json.dumps({"version": version, "folder": folder, "filas": counts})
+        if version <= self.version():
+            raise PublishConflict(version)
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/published/version-{version:08}.json")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        try:
+            out = files.create(path, False)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" in error.java_exception.toString():
+                raise PublishConflict(version) from error
+            raise
+        out.write(bytearray(f"{entry}\n".encode()))
+        out.close()
         return version
+
+    def orphans(self) -> list[str]:
+        """Folders of loads that were never published: failed ones and those still running."""
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/loads")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(path):
+            return []
+        found = [f"loads/{status.getPath().getName()}" for status in files.listStatus(path)]
+        known = {r.folder for r in self._log().select("folder").collect()} if self.version() else set()
+        return sorted(f"{self.root}/{folder}" for folder in found if folder not in known)
+
+
+class PublishConflict(Exception):
+    """Another load has published the version that this one was to become."""
+
+    def __init__(self, version: int):
+        super().__init__(f"version {version} was published by another load")
+        self.version = version

@@ -261,6 +261,38 @@ def test_the_raw_file_is_scanned_once(spark, tmp_path):
         assert "FileScan csv" not in output._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("piece", [7, 40, 1 << 20])
+def test_records_with_line_breaks_are_put_together_across_splits(spark, tmp_path, piece):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    long = "x" * 30 + "\n" * 5 + '""' + "y,z" * 20
+    cells = [
+        ["1", "plain", "5"],
+        ["2", "two\nlines", "6"],
+        ["3", long.replace('""', '"'), "7"],
+        ["4", 'an inch 5" mark', "8"],
+        ["5", "\n\n", "9"],
+        ["6", "", "end"],
+    ]
+    lines = ["a,b,c", "1,plain,5", '2,"two\nlines",6', f'3,"{long}",7', '4,an inch 5" mark,8']
+    lines += ['5,"\n\n",9', "", '6,"",end']
+    (folder / "one.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    (folder / "two.csv").write_bytes("\r\n".join(["a,b,c", '7,"a\nb",1', "8,z,2"]).encode())
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(piece))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        rows = files.load_raw(spark, str(folder), multiline=True)
+        found = sorted(map(tuple, rows.collect()))
+        splits = spark.read.text(str(folder)).rdd.getNumPartitions()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    expected = [tuple(x or None for x in row) for row in cells] + [("7", "a\nb", "1"), ("8", "z", "2")]
+    assert found == sorted(expected)
+    assert splits > 1 or piece > 1000
+
+
 def test_short_lines_are_padded(spark, tmp_path):
     path = tmp_path / "raw.csv"
     path.write_text('a,b`x,c\n1,"x,y",2\nshort\n1,"a,b"\n', encoding="utf-8")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from almacen.model import DIM_PRODUCTO, DIM_REGION, DIMENSIONS
 from almacen.operators import constraints, dimensions, facts
 from almacen.plans import reports, star_load
-from almacen.sources.warehouse import Star, Warehouse
+from almacen.sources import files
+from almacen.sources.warehouse import PublishConflict, Star, Warehouse
 
 
 def contents(table):
@@ -97,6 +98,51 @@ def test_a_failed_load_leaves_the_published_version(spark, warehouse):
     assert [row[1] for row in contents(warehouse.read().dim_region)] == ["Cali"]
 
 
+def test_overlapping_loads_lose_no_member_and_share_no_id(spark, warehouse, monkeypatch):
+    star_load.load_star(sales(spark, {}), warehouse)
+    stage, other = warehouse.stage, sales(spark, {"ciudad": "Lima", "pais": "Peru"})
+
+    def another_load_comes_first():
+        staging = stage()
+        monkeypatch.setattr(warehouse, "stage", stage)
+        assert star_load.load_star(other, warehouse).version == 2
+        return staging
+
+    monkeypatch.setattr(warehouse, "stage", another_load_comes_first)
+    mine = star_load.load_star(sales(spark, {"ciudad": "Quito", "pais": "Ecuador"}), warehouse)
+    assert mine.version == 3
+    regions = {r.ciudad: r.id_region for r in warehouse.read().dim_region.collect()}
+    assert sorted(regions) == ["Cali", "Lima", "Quito"] and len(set(regions.values())) == 3
+    assert [r.ciudad for r in warehouse.read(2).dim_region.orderBy("id_region").collect()] == ["Cali", "Lima"]
+    assert len(warehouse.orphans()) == 1
+
+
+def test_a_version_is_claimed_once(spark, warehouse):
+    star_load.load_star(sales(spark, {}), warehouse)
+    staging = warehouse.stage()
+    staging.rows = dict(warehouse.read().rows)
+    assert warehouse.publish(staging, 1) == 2
+    with pytest.raises(PublishConflict):
+        warehouse.publish(staging, 1)
+
+
+def test_the_load_counts_what_it_leaves_out(spark, warehouse):
+    rows = sales(spark, {}, {}, {"pais": None}, {"descuento": None})
+    loaded = star_load.load_star(rows, warehouse)
+    assert loaded.read == 4 and loaded.left_out == {"incomplete": 1, "null measure": 1}
+    assert loaded.rows["fact_ventas"] == 2
+
+
+def test_a_clean_csv_is_loaded_straight(spark, tmp_path):
+    files.export_clean_csv(sales(spark, {}, {"ciudad": "Bogo\ntá"}), str(tmp_path / "csv"))
+    loaded = star_load.run_load(
+        spark, str(tmp_path / "csv"), str(tmp_path / "house"), csv=True, multiline=True
+    )
+    assert loaded.rows["fact_ventas"] == 2
+    cities = Warehouse(spark, str(tmp_path / "house")).read().dim_region.collect()
+    assert sorted(r.ciudad for r in cities) == ["Bogo\ntá", "Cali"]
+
+
 def test_a_failed_load_writes_every_violation(spark, tmp_path):
     rows = spark.range(21).selectExpr("'t' as tabla", "'c' as restriccion", "string(id) as clave", "1L as filas")
     with pytest.raises(constraints.ConstraintViolation, match=r"t c \(21 rows\)") as raised:
