@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from almacen.llm.stored import stored
+from almacen.llm.stored import discard, stored
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -35,8 +35,12 @@ def components(edges: DataFrame) -> DataFrame:
     edges give no rows.
     """
     edges = edges.select("a", "b").filter("a != b")
+    before = None
     while True:
         edges = stored(_small_star(_large_star(edges)).distinct(), "edges")
+        if before is not None:
+            discard(before)
+        before = edges
         # Done when every node leads to one other, and that one leads nowhere.
         up = edges.groupBy("a").agg(F.min("b").alias("low"), F.max("b").alias("high"))
         inner = up.select(F.col("a").alias("inner"))

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from almacen.llm import words
 from almacen.llm.components import components
-from almacen.llm.stored import prepared, small_or_not, stored
+from almacen.llm.stored import discard, prepared, small_or_not, stored
 
 N = 5
 PERCENT = 80
@@ -49,6 +49,8 @@ _LITTLE = 0.25
 _HUB_ROUNDS = 8
 #: Hubs of a column in a round, each the most central row of another random quarter.
 HUBS = 4
+#: Texts without a key are named from here on.
+_SPARE = 1 << 62
 _SIGN_BITS = 256
 _SIGN = ", ".join(f"w{i}: long" for i in range(_SIGN_BITS // 64))
 
@@ -167,9 +169,11 @@ def _pair_bounds(percent: int):
     exact = F.when(F.expr(f"{percent} * (n_a + n_b) % {100 + percent} > 0"), need + 1)
     need = exact.otherwise(need)
     left = F.least(F.expr("n_a - at_a"), F.expr("n_b - at_b"))
+    # The first n-gram that a link shares comes no later than this in either set.
+    early = (F.col("at_a") <= F.col("n_a") - need + 1) & (F.col("at_b") <= F.col("n_b") - need + 1)
     differ = " + ".join(f"bit_count(sign_a.w{i} ^ sign_b.w{i})" for i in range(_SIGN_BITS // 64))
     alike = F.coalesce(F.expr(f"n_a + n_b - ({differ})") >= 2 * need, F.lit(True))
-    return need, (F.least("at_a", "at_b") + left >= need) & alike
+    return need, early & (F.least("at_a", "at_b") + left >= need) & alike
 
 
 class _Matrix:
@@ -181,26 +185,43 @@ class _Matrix:
         ranks = spark.sparkContext.broadcast(_ranks(docs, n))
         kind = f"doc_id long, n long, digest binary, sign struct<{_SIGN}>, first array<long>"
         self.rows = stored(docs.mapInArrow(lambda b: _rows(b, n, percent, ranks), kind), "sets")
-        self.classes = (
-            self.rows.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("id"))
-        ).filter("id is not null")
+        self.classes = self.rows.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("id"))
         first = self.rows.join(
             self.classes.select("digest", F.col("id").alias("doc_id")), ["digest", "doc_id"]
         )
         first = first.dropDuplicates(["digest", "doc_id"])
-        first = stored(first.select(F.col("doc_id").alias("id"), "n", "sign", "first"), "first")
-        entries = first.select("id", "n", F.posexplode("first"))
-        entries = entries.select("id", "n", (F.col("pos") + 1).alias("at"), F.col("col").alias("gram"))
+        first = stored(first.select(F.col("doc_id").alias("id"), "n", "digest", "sign", "first"), "first")
+        # One number for each set: two texts under one key are two sets of one id.
+        entry = F.posexplode("first").alias("at", "gram")
+        entries = first.select("id", F.substring("digest", 1, 4).alias("part"), entry)
         # Counted and joined, not windowed: an n-gram of a third of all rows is no task of its own.
         shared = entries.groupBy("gram").agg(F.count("*").alias("rows")).filter("rows > 1")
-        columns = stored(entries.join(shared, "gram"), "columns")
-        # Two texts under one key may have sets of one size; then no parities are used.
-        signs = first.groupBy("id", "n").agg(
-            F.when(F.min("sign") == F.max("sign"), F.min("sign")).alias("sign")
+        columns = entries.join(shared, "gram").groupBy("id", "part").agg(
+            F.round(F.sum(F.log("rows")), 6).alias("central"),
+            F.collect_list(F.struct((F.col("at") + 1).alias("at"), "gram")).alias("columns"),
         )
-        central = columns.groupBy("id", "n").agg(F.round(F.sum(F.log("rows")), 6).alias("central"))
-        columns = columns.drop("rows").join(central.join(signs, ["id", "n"]), ["id", "n"])
-        self.columns = stored(columns, "columns")
+        sets = first.select("id", F.substring("digest", 1, 4).alias("part"), "n", "sign")
+        self.sets = stored(columns.join(sets, ["id", "part"]).drop("part"), "columns")
+        discard(first)
+
+    def columns(self, labels: DataFrame | None) -> DataFrame:
+        """Entries of the columns that two or more components share, with the component of each row.
+
+        Labels are joined with the sets, one row for each, before these are laid out.
+        """
+        sets = self.sets.withColumn("component", F.col("id"))
+        if labels is not None:
+            sets = self.sets.join(labels, F.col("id") == F.col("node"), "left")
+            sets = sets.withColumn("component", F.coalesce("component", "id")).drop("node")
+        entries = sets.select("id", "n", "central", "sign", "component", F.explode("columns").alias("c"))
+        entries = entries.select("id", "n", "c.at", "c.gram", "central", "sign", "component")
+        if labels is None:
+            return stored(entries, "columns")
+        span = entries.groupBy("gram").agg(
+            F.min("component").alias("low"), F.max("component").alias("high")
+        )
+        open_ones = span.filter("low != high").select("gram")
+        return stored(entries.join(open_ones, "gram", "left_semi"), "columns")
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """Those of ``pairs(a, b)`` whose first columns overlap as much as links must.
@@ -209,7 +230,7 @@ class _Matrix:
         them, so the overlap is at most what the first columns share plus the rest of
         one of the sets.
         """
-        shared = self.columns.groupBy("id", "n").agg(F.collect_list("gram").alias("grams"))
+        shared = self.sets.select("id", "n", F.col("columns.gram").alias("grams"))
         of_a = shared.select(*[F.col(c).alias(f"{c}_a") for c in shared.columns])
         of_b = shared.select(*[F.col(c).alias(f"{c}_b") for c in shared.columns])
         both = pairs.join(of_a, F.col("a") == F.col("id_a"))
@@ -225,15 +246,16 @@ class _Matrix:
         percent, n = self.percent, self.n
         pairs = stored(pairs, "pairs")
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-        texts = self.docs.join(
-            small_or_not(stored(ids, "ids"), 16), F.col("doc_id") == F.col("id"), "left_semi"
-        )
+        ids = stored(ids, "ids")
+        texts = self.docs.join(small_or_not(ids, 16), F.col("doc_id") == F.col("id"), "left_semi")
         sets = texts.mapInArrow(lambda b: _grams(b, n), "id long, grams binary")
-        sets = stored(sets, "grams")
+        sets = stored(sets.dropDuplicates(), "grams")
         of_a = sets.select(F.col("id").alias("a"), F.col("grams").alias("grams_a"))
         of_b = sets.select(F.col("id").alias("b"), F.col("grams").alias("grams_b"))
         whole = pairs.join(of_a, "a").join(of_b, "b").select("a", "b", "grams_a", "grams_b")
-        return whole.mapInArrow(lambda b: _verified(b, percent), "a long, b long")
+        found = stored(whole.mapInArrow(lambda b: _verified(b, percent), "a long, b long"), "links")
+        discard(pairs, ids, sets)
+        return found
 
     def hub_pairs(self, columns: DataFrame, turn: int) -> DataFrame:
         """Each row of a column with the column's hubs, other ones in each turn."""
@@ -278,17 +300,6 @@ class _Matrix:
         return summed.filter(F.col("overlap") + left_over >= need).select("a", "b")
 
 
-def _labelled(columns: DataFrame, labels: DataFrame) -> DataFrame:
-    """Columns with the component of each row; those within one component are left out."""
-    columns = columns.drop("component").join(labels, F.col("id") == F.col("node"), "left")
-    columns = columns.withColumn("component", F.coalesce("component", "id")).drop("node")
-    span = columns.groupBy("gram").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    open_ones = span.filter("low != high").select("gram")
-    return stored(columns.join(open_ones, "gram", "left_semi"), "columns")
-
-
 def _pairs_left(columns: DataFrame) -> tuple[int, int]:
     """Entries of the columns, and the pairs of different components in them."""
     parts = columns.groupBy("gram", "component").agg(F.count("*").cast("double").alias("k"))
@@ -307,13 +318,31 @@ def jaccard_components(
     included. A text of fewer than n words has its whole sequence as its only
     n-gram; null, empty and white texts have none and link with nothing. Repeated
     rows and copies are one set. Keys (integers) name documents: rows that share a
-    key but not a text share their links. Rows with a null key take the component
-    of their text and lead to no other one. Other columns are not looked at,
+    key but not a text share their links. Rows with a null key take part by their text and
+    take the component of their group, null where no row of it has a key. Other columns are not looked at,
     whatever their names; no rows give no rows; texts of any length are read whole.
     """
-    docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return _components(_identified(docs, key, text), n, percent).select(
+        F.when(F.col("doc_id") < _SPARE, F.col("doc_id")).alias("doc_id"),
+        "n_shingles",
+        F.when(F.col("component_id") < _SPARE, F.col("component_id")).alias("component_id"),
+    )
+
+
+def _identified(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(doc_id, text); texts without a key get one above all keys, which only lives in here."""
+    return docs.select(_identity(key, text).alias("doc_id"), F.col(text).cast("string").alias("text"))
+
+
+def _identity(key: str, text: str):
+    spare = F.shiftrightunsigned(F.xxhash64(F.col(text).cast("string")), 2) + F.lit(_SPARE)
+    return F.coalesce(F.col(key).cast("long"), spare)
+
+
+def _components(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, component_id of rows that all have a key."""
     matrix = _Matrix(docs, n, percent)
-    columns = matrix.columns.withColumn("component", F.col("id"))
+    columns = matrix.columns(None)
     found, before = None, None
     for turn in range(_HUB_ROUNDS + 1):
         entries, pairs = _pairs_left(columns)
@@ -325,12 +354,16 @@ def jaccard_components(
         new = matrix.links(
             matrix.all_pairs(columns) if last else matrix.hub_pairs(columns, turn)
         )
-        new = stored(new if found is None else found.union(new), "links")
+        if found is not None:
+            every = stored(found.union(new), "links")
+            discard(found, new)
+            new = every
         found = new
         labels = stored(components(found), "labels")
+        discard(columns)
         if last:
             break
-        columns = _labelled(columns, labels)
+        columns = matrix.columns(labels)
     classes = matrix.classes.withColumn("component", F.col("id"))
     if found is not None:
         classes = matrix.classes.join(labels, F.col("id") == F.col("node"), "left").select(
@@ -346,9 +379,17 @@ def jaccard_components(
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each group of near copies: the one with the smallest key.
 
-    Documents without words stay; so do rows with a null key whose text no keyed
-    row is linked with. ``key`` names each row: rows repeated with a key share its fate.
+    Documents without words stay. ``key`` names each row: rows repeated with a key share
+    its fate. Rows with a null key are named by their text, after all keys: they go where
+    their group has a key, or another text that stays; of equal texts without a key the
+    row whose columns sort last stays.
     """
-    found = jaccard_components(docs, key=key, text=text)
+    found = _components(_identified(docs, key, text), N, PERCENT)
     gone = found.filter("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(small_or_not(gone, 16), F.col(key) == F.col("_gone"), "left_anti")
+    gone = small_or_not(stored(gone, "gone"), 16)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = docs.select(row, _identity(key, text).alias("_key"), F.col(key).isNull().alias("_unnamed"))
+    rows = rows.join(gone, F.col("_key") == F.col("_gone"), "left_anti")
+    named = rows.filter("not _unnamed").select("_row.*")
+    unnamed = rows.filter("_unnamed").groupBy("_key").agg(F.max("_row").alias("_row"))
+    return named.unionByName(unnamed.select("_row.*"))
