@@ -6,9 +6,16 @@ into one space. The SHA-256 of the form is joined with the digests of known
 license texts and notices. Two kinds of entire texts are looked up: the whole
 document, and each of its lines, where one-sentence notices stand.
 
-A notice begins with a sign, a year or a holder; 'copyright notice' or 'copyright
-holders' at the start of a line is body text. It ends where one of OPENINGS begins,
-else with its line, so a license has the same digest however its lines are broken.
+What a copyright notice is, is one rule of two steps. A sign or 'copyright' with a year
+opens a notice; if one of OPENINGS follows in its paragraph, or begins the next one, all
+between goes, however many lines of holders that are. Else a notice is a line that begins with a sign, a
+year or a holder ('copyright notice' or 'copyright holders' begin body text), and goes up
+to an opening in that line or to its end. So a license has the same digest
+however its lines are broken.
+
+Only the texts of ``license_texts`` can be recognised: six whole licenses (MIT, ISC, 0BSD,
+BSD-2-Clause, BSD-3-Clause, Zlib) and one-sentence notices of some others. The whole texts
+of Apache, GPL, LGPL, MPL and others are not there; ``scan`` takes a table with more.
 """
 
 from __future__ import annotations
@@ -17,11 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from almacen.llm.license_texts import KNOWN, SPELLINGS
-from almacen.llm.stored import prepared, small_or_not, stored
+from almacen.llm.stored import bounded, prepared, stored
 
-#: Patterns that mean the same to Java's and to RE2's regular expressions.
-#: The SQL's pattern: it deletes every line that starts so, notice or not.
-COPYRIGHT_LINE = r"(^|\n)[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*"
+#: All patterns mean the same to Java's and to RE2's regular expressions.
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F ‐‑‒–—―‘’“”•…]+"
 #: What follows a notice, be it on the same line.
 OPENINGS = (
@@ -53,15 +58,22 @@ _NO_HOLDER = (
     r"|treat(?:y|ies)|protections?|status|claims?|acts?|and|or|on|in|to|of|is|are|for|as|if|that|which|with|has|have"
     r"|may|must|shall|will|under|from|applies|infringement|ownership|terms?|conditions?|information|subsists)"
 )
-#: Up to a blank line at most, which may follow.
-_IN_PARAGRAPH = r"(?:(?!\n[ \t\r]*\n)[\s\S]){0,400}?"
-#: A dated notice with one of OPENINGS after it, wherever it stands.
-NOTICE_BEFORE = rf"(?<![a-z0-9]){_DATED}{_IN_PARAGRAPH}\s*(?<![a-z0-9])(?={_OPENING})"
-#: A notice that is a line.
-NOTICE_LINE = (
-    rf"(^|\n)[^a-z0-9\n©]*(?<!\()(?:{_DATED}|copyright\b(?![\s:,]*$|[ \t]*\n|\s*{_NO_HOLDER}\b)[ \t:,]+)"
-    rf"[^\n]*?(?=\n|\z|(?<![a-z0-9]){_OPENING})"
-)
+_OPENS = rf"(?:^|[^a-z0-9])({_OPENING}"
+PARAGRAPHS = r"\n[ \t\r]*\n"
+#: In a paragraph, a dated notice with one of OPENINGS after it; kept are groups 1 and 3.
+NOTICE_BEFORE = rf"^([\s\S]*?)(^|[^a-z0-9]){_DATED}[\s\S]*?[^a-z0-9]({_OPENING}[\s\S]*)$"
+#: A dated notice to the end of its paragraph, where the next one begins with an opening.
+NOTICE_TO_END = rf"^([\s\S]*?)(^|[^a-z0-9]){_DATED}[\s\S]*$"
+BEGINS_OPEN = rf"^[^a-z0-9]*{_OPENING}"
+#: Of a line, what follows a notice, in group 1.
+FROM_OPENING = rf"{_OPENS}.*)$"
+_FIRST = r"^(?:[^a-z0-9©]*[^a-z0-9©(])?"
+DATED_LINE = rf"{_FIRST}{_DATED}"
+HOLDER_LINE = rf"{_FIRST}copyright[ \t:,]+[^\s:,]"
+BODY_LINE = rf"{_FIRST}copyright\s*{_NO_HOLDER}\b"
+BROKEN_HYPHEN = r"([a-z])-\s+([a-z])"
+#: Texts without any of these have no notice.
+SIGNS = ("copyright", "(c)", "©")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -81,18 +93,34 @@ def _words_only(text):
 
 
 def _without_notices(lowered):
-    return F.regexp_replace(lowered, NOTICE_LINE, "$1")
+    """Lines stay lines. Most texts have no sign of a notice, and are not searched for one."""
+    signs = [F.contains(lowered, F.lit(sign)) for sign in SIGNS]
+    paragraphs = F.split(lowered, PARAGRAPHS)
+
+    def cleared_of(p, i):
+        opens = F.coalesce(F.get(paragraphs, i + 1).rlike(BEGINS_OPEN), F.lit(False))
+        here = F.when(p.rlike(NOTICE_BEFORE), F.regexp_replace(p, NOTICE_BEFORE, "$1 $3"))
+        return here.when(opens, F.regexp_replace(p, NOTICE_TO_END, "$1")).otherwise(p)
+
+    cleared = F.transform(paragraphs, cleared_of)
+    lines = F.split(F.array_join(cleared, "\n\n"), "\n")
+
+    def left(line):
+        notice = line.rlike(DATED_LINE) | (line.rlike(HOLDER_LINE) & ~line.rlike(BODY_LINE))
+        return F.when(notice, F.regexp_extract(line, FROM_OPENING, 1)).otherwise(line)
+
+    return F.when(signs[0] | signs[1] | signs[2], F.array_join(F.transform(lines, left), "\n")).otherwise(lowered)
 
 
 def canonical(text):
     """The canonical form of a text column; null counts as empty."""
-    return _canonical(_lowered(text))
+    return _canonical(_without_notices(_lowered(text)))
 
 
-def _canonical(lowered):
-    text = _without_notices(F.regexp_replace(lowered, NOTICE_BEFORE, " "))
-    text = F.regexp_replace(text, r"(?<=[a-z])-\s+(?=[a-z])", "-")  # a line broken at a hyphen
-    return _words_only(_spelled(F.regexp_replace(text, r"\s+", " ")))
+def _canonical(cleared):
+    spaced = F.regexp_replace(cleared, r"\s+", " ")
+    whole = F.regexp_replace(spaced, BROKEN_HYPHEN, "$1-$2")  # a line broken at a hyphen
+    return _words_only(_spelled(F.when(F.contains(spaced, F.lit("- ")), whole).otherwise(spaced)))
 
 
 def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
@@ -109,28 +137,34 @@ def scan(
 
     license is that of the whole text, or null; notices lists the different
     licenses that single lines name, by name, and n_notices counts those lines.
-    Rows that share a key share their notices. Null and empty texts have the digest
-    of the empty form and no license. Texts of any length are read whole; a null key
-    is a key; other columns are not looked at; no rows give no rows.
+    Rows are judged by their text alone, so null and repeated keys are as good as others.
+    Null and empty texts have the digest of the empty form and no license. Texts of
+    any length are read whole; other columns are not looked at; no rows give no rows.
     """
     spark = prepared(docs.sparkSession)
     known = known_digests(spark) if known is None else known
-    known = small_or_not(stored(known, "known"), 128)
-    given = docs.select(F.col(key).alias("doc_id"), _lowered(F.col(text)).alias("lowered"))
-    digest = F.sha2(_canonical(F.col("lowered")), 256).alias("text_digest")
-    whole = given.select("doc_id", digest).join(
+    known = bounded(stored(known, "known"), "digest", "license")
+    content = F.col(text).cast("string")
+    given = docs.select(
+        F.col(key).alias("doc_id"),
+        F.md5(F.coalesce(content, F.lit(""))).alias("id"),
+        _without_notices(_lowered(content)).alias("cleared"),
+    )
+    digest = F.sha2(_canonical(F.col("cleared")), 256).alias("text_digest")
+    whole = given.select("doc_id", "id", digest).join(
         known, F.col("text_digest") == F.col("digest"), "left"
     )
-    spelled = _spelled(_without_notices(F.col("lowered")))
-    lines = given.select("doc_id", F.explode(F.split(spelled, "\n")).alias("line"))
+    lines = given.select("id", F.posexplode(F.split(_spelled(F.col("cleared")), "\n")).alias("at", "line"))
     lines = lines.withColumn("line", F.sha2(_words_only(F.col("line")), 256))
-    named = lines.join(known, F.col("line") == F.col("digest")).groupBy(F.col("doc_id").alias("of"))
+    named = lines.join(known, F.col("line") == F.col("digest"))
+    # Copies of a text have the same lines.
+    named = named.select("id", "at", "license").distinct().groupBy(F.col("id").alias("of"))
     named = named.agg(
         F.array_join(F.array_sort(F.collect_set("license")), ", ").alias("notices"),
         F.count("*").alias("n_notices"),
     )
-    named = small_or_not(stored(named, "notices"), 64)
-    return whole.join(named, F.col("doc_id").eqNullSafe(F.col("of")), "left").select(
+    named = bounded(stored(named, "notices"), "of", "notices")
+    return whole.join(named, F.col("id") == F.col("of"), "left").select(
         "doc_id",
         "text_digest",
         "license",

@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from almacen.llm.chat_format import END, START
 from almacen.llm.license_texts import KNOWN, SPELLINGS
-from almacen.llm.licenses import COPYRIGHT_LINE, LOWER, NOT_WORD, UPPER
+from almacen.llm.licenses import (
+    BEGINS_OPEN,
+    BODY_LINE,
+    BROKEN_HYPHEN,
+    DATED_LINE,
+    FROM_OPENING,
+    HOLDER_LINE,
+    LOWER,
+    NOT_WORD,
+    NOTICE_BEFORE,
+    NOTICE_TO_END,
+    PARAGRAPHS,
+    SIGNS,
+    UPPER,
+)
 
 _WORDS = r"'[^\x20\x09-\x0D]+'"
 
@@ -146,34 +160,60 @@ with recursive usable as (
 select *, vec_id = component_id as kept from labelled
 """
 
-_spelled = f"regexp_replace(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), "
-_spelled += rf"{_quoted(COPYRIGHT_LINE)}, '\1', 'g')"
-for _variant, _usual in SPELLINGS:
-    _spelled = f"replace({_spelled}, {_quoted(_variant)}, {_quoted(_usual)})"
+def _spelled(text: str) -> str:
+    for variant, usual in SPELLINGS:
+        text = f"replace({text}, {_quoted(variant)}, {_quoted(usual)})"
+    return text
+
+
+_PARTS = f"regexp_split_to_array(lowered, {_quoted(PARAGRAPHS)})"
+_CLEARED = rf"""
+    select *, case when contains(lowered, '{SIGNS[0]}') or contains(lowered, '{SIGNS[1]}')
+            or contains(lowered, '{SIGNS[2]}')
+        then array_to_string(list_transform(string_split(array_to_string(list_transform(
+            paragraphs, lambda p, i: case
+                when regexp_matches(p, {_quoted(NOTICE_BEFORE)})
+                    then regexp_replace(p, {_quoted(NOTICE_BEFORE)}, '\1 \3')
+                when regexp_matches(paragraphs[i + 1], {_quoted(BEGINS_OPEN)})
+                    then regexp_replace(p, {_quoted(NOTICE_TO_END)}, '\1')
+                else p end), chr(10) || chr(10)), chr(10)),
+            lambda x: case when regexp_matches(x, {_quoted(DATED_LINE)})
+                    or (regexp_matches(x, {_quoted(HOLDER_LINE)}) and not regexp_matches(x, {_quoted(BODY_LINE)}))
+                then regexp_extract(x, {_quoted(FROM_OPENING)}, 1) else x end), chr(10))
+        else lowered end as cleared
+"""
 
 
 def _digest(text: str) -> str:
     return f"sha256(trim(regexp_replace({text}, {_quoted(NOT_WORD)}, ' ', 'g')))"
 
 
+_spaced = r"regexp_replace(cleared, '\s+', ' ', 'g')"
+_WHOLE = _digest(_spelled(rf"regexp_replace({_spaced}, '{BROKEN_HYPHEN}', '\1-\2', 'g')"))
+
 LICENSES = rf"""
 with texts(license, text) as (
     values {", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in KNOWN)}
 ), known as (
-    select {_digest(_spelled)} as digest, min(license) as license from texts group by 1
+    select {_WHOLE} as digest, min(license) as license
+    from ({_CLEARED} from (select *, {_PARTS} as paragraphs from (
+        select license, translate(text, '{UPPER}', '{LOWER}') as lowered from texts)))
+    group by 1
 ), given as (
-    select doc_id, {_spelled} as spelled from documents
+    {_CLEARED} from (select *, {_PARTS} as paragraphs from (
+        select row_number() over () as row, doc_id,
+            translate(coalesce(text, ''), '{UPPER}', '{LOWER}') as lowered from documents))
 ), lines as (
-    select doc_id, unnest(string_split(spelled, chr(10))) as line from given
+    select row, unnest(string_split({_spelled("cleared")}, chr(10))) as line from given
 ), named as (
-    select doc_id, string_agg(distinct license, ', ' order by license) as notices,
+    select row, string_agg(distinct license, ', ' order by license) as notices,
         count(*) as n_notices
-    from lines join known on {_digest("line")} = digest group by doc_id
+    from lines join known on {_digest("line")} = digest group by row
 )
-select g.doc_id, {_digest("spelled")} as text_digest, k.license,
+select g.doc_id, {_WHOLE} as text_digest, k.license,
     coalesce(notices, '') as notices, coalesce(n_notices, 0) as n_notices
-from given g left join known k on k.digest = {_digest("spelled")}
-left join named n on n.doc_id is not distinct from g.doc_id
+from given g left join known k on k.digest = {_WHOLE}
+left join named n on n.row = g.row
 """
 
 CHAT_FORMAT = rf"""

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import textwrap
 
+import duckdb
+import pandas as pd
 import pytest
+from compare import difference
 
-from almacen.llm import licenses
+from almacen.llm import licenses, queries, sql
 
 WHOLE = [(name, text) for name, text in licenses.KNOWN if len(text) > 300]
 NOTICES = ["Copyright (c) 2020 Ann Smith", "Copyright 1998, 2001 The Regents of the University. All rights reserved."]
@@ -48,3 +51,32 @@ def test_only_notices_are_left_out(spark):
 def test_a_notice_line_keeps_the_license_it_names(spark):
     docs = spark.createDataFrame([(1, "Copyright 2020 Ann. Released under the MIT License.")], "doc_id int, text string")
     assert licenses.scan(docs).first()["notices"] == "MIT"
+
+
+@pytest.mark.parametrize("between", ["\n", "\n\n"])
+def test_notices_of_any_number_of_holders_are_left_out(spark, between):
+    holders = "\n".join(f"Copyright (c) {1980 + i % 40} Holder Number {i} <h{i}@example.org>" for i in range(300))
+    docs = spark.createDataFrame([(1, holders + between + licenses.KNOWN[0][1])], "doc_id int, text string")
+    assert licenses.scan(docs).first()["license"] == "MIT"
+
+
+def test_scan_matches_its_sql_on_notices_and_body_lines(spark, tmp_path):
+    mit = licenses.KNOWN[0][1]
+    texts = [mit, f"Copyright 2020 Ann\n{mit}", f"x\nCopyright notice of body\n{mit}", "copyright holders and\nmore"]
+    texts += ["(c) 2020 A\nB\nC\nReleased under the MIT License.", "© A\n\nlicensed under CC BY 4.0.", "no (c) here"]
+    texts += ["see copyright 2020 Ann. Licensed under CC BY-SA 4.0. more", "copyright\n", "Copyright Ann\nText", None, ""]
+    texts += ["SPDX-License-Identifier: MIT\nSPDX-License-Identifier: Apache-2.0", "well- known\nsub-\nlicense", mit]
+    frame = pd.DataFrame({"doc_id": [1, None, 3, 3, *range(5, len(texts) + 1)], "text": texts})
+    frame["doc_id"] = frame["doc_id"].astype("Int64")
+    frame.to_parquet(tmp_path / "documents.parquet")
+    with duckdb.connect() as connection:
+        connection.execute(f"create view documents as from '{tmp_path}/documents.parquet'")
+        assert difference(queries.op9_license_scan(spark, str(tmp_path)), connection, sql.LICENSES) is None
+
+
+def test_rows_without_a_key_have_their_own_notices(spark):
+    rows = [(None, "Released under the MIT License."), (None, "plain"), (1, "Licensed under CC BY 4.0."), (1, "x")]
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["notices"], r["n_notices"]) for r in found) == [
+        (0, "", 0), (0, "MIT", 1), (1, "", 0), (1, "CC-BY-4.0", 1)
+    ]
