@@ -42,6 +42,9 @@ def _owners_of(sorted_numbers: np.ndarray, owners: int) -> np.ndarray:
     starts = (np.arange(owners, dtype=object) * (1 << 64) // owners).astype(np.uint64)
     return np.append(np.searchsorted(sorted_numbers, starts), len(sorted_numbers))
 
+#: Fingerprints of one owner.
+_OWNED = 1 << 20
+
 
 def _send(batches: Iterator[pa.RecordBatch], owners: int) -> Iterator[pa.RecordBatch]:
     sender = TaskContext.get().partitionId()
@@ -99,7 +102,8 @@ def suspect_fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     """Fingerprints that more than one row holds, each once (column fingerprint)."""
     spark = prepared(docs.sparkSession)
     sha = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
-    owners = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # As many owners as keep the lists of one at a few MB, however many texts there are.
+    owners = max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.count() // _OWNED + 1)
     prints = docs.select(_fingerprint(sha).alias("fingerprint"))
     sent = stored(prints.mapInArrow(lambda b: _send(b, owners), _SENT), "sent")
     answers = (

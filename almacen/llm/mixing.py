@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from almacen.llm.stored import small_or_not, stored
+from almacen.llm.stored import bounded, stored
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -106,14 +106,15 @@ def mix(
     draw the same number and are taken one after the other. Other columns are not
     looked at; no rows give no rows; ``share`` is at most ``most``.
     """
+    drawn, _, cuts = _planned(docs, weights, share, most, seed, key, text, source)
+    return _taken(drawn, cuts)
+
+
+def _planned(docs: DataFrame, weights, share: float, most: int, seed: str, key: str, text: str, source: str):
+    """The documents as they are drawn, and by source what that needs: plans and cuts."""
     if share > most:
         raise ValueError("no mix of more than ``most`` times all words")
-    rows = docs.select(
-        F.col(key).alias("doc_id"),
-        F.col(source).alias("source"),
-        _size(text).alias("size"),
-        _random(key, text, seed).alias("u"),
-    )
+    rows = docs.select(*_asked(key, text, source, seed))
     rows = stored(rows, "sizes")
     sizes = rows.groupBy(F.col("source").alias("s"), "size").agg(F.count("*").alias("n"))
     sizes = stored(sizes.withColumn("words", F.col("size") * F.col("n")), "source_sizes")
@@ -126,12 +127,23 @@ def mix(
     plans = plans.select(
         F.col("source").alias("of"), "source_size", "target", F.coalesce("each", F.lit(0.0)).alias("each")
     )
-    drawn = stored(_drawn(rows, stored(plans, "plans"), most), "drawn")
-    return _taken(drawn)
+    plans = stored(plans, "plans")
+    drawn = stored(_drawn(rows, plans, most), "drawn")
+    return drawn, plans, stored(_cuts(drawn), "cuts")
+
+
+def _asked(key: str, text: str, source: str, seed: str) -> list:
+    """What a draw looks at."""
+    return [
+        F.col(key).alias("doc_id"),
+        F.col(source).alias("source"),
+        _size(text).alias("size"),
+        _random(key, text, seed).alias("u"),
+    ]
 
 
 def _of_source(rows: DataFrame, by_source: DataFrame) -> DataFrame:
-    by_source = small_or_not(by_source, 128)
+    by_source = bounded(by_source, "of")
     return rows.join(by_source, F.col("source").eqNullSafe(F.col("of"))).drop("of")
 
 
@@ -139,8 +151,8 @@ def _log_odds(p):
     return F.ln(p / (1 - p))
 
 
-def _drawn(rows: DataFrame, plans: DataFrame, most: int) -> DataFrame:
-    """Certain copies of each document, and its rank in the draw for one more."""
+def _drawn(rows: DataFrame, plans: DataFrame, most: int, *kept: str) -> DataFrame:
+    """Certain copies of each document, and its rank in the draw for one more; other columns to keep."""
     merit = F.length(F.bin(F.col("size") + 1))
     expected = F.when(F.col("size") > 0, F.least(F.col("each") * merit, F.lit(float(most))))
     rows = _of_source(rows, plans).withColumn("expected", F.coalesce(expected, F.lit(0.0)))
@@ -151,6 +163,7 @@ def _drawn(rows: DataFrame, plans: DataFrame, most: int) -> DataFrame:
     rows = rows.withColumn("rank", F.when((F.col("part") > 0) & (F.col("part") < 1), draws))
     inside = F.least(F.greatest(F.col("rank"), F.lit(-_WIDEST)), F.lit(_WIDEST)) + _WIDEST
     return rows.select(
+        *kept,
         "doc_id",
         "source",
         "size",
@@ -162,8 +175,8 @@ def _drawn(rows: DataFrame, plans: DataFrame, most: int) -> DataFrame:
     )
 
 
-def _taken(drawn: DataFrame) -> DataFrame:
-    """Documents by rank as long as the words of their source come nearer to its target."""
+def _cuts(drawn: DataFrame) -> DataFrame:
+    """For each source the range in which its words reach the target, and the words before it."""
     ranges = drawn.groupBy("source", "target", "range").agg(
         F.sum(F.col("certain") * F.col("size")).alias("certain_words"), F.sum("size").alias("words")
     )
@@ -173,25 +186,38 @@ def _taken(drawn: DataFrame) -> DataFrame:
     ranges = ranges.withColumn("until", F.sum("words").over(until)).filter("until > wanted")
     cut = F.min(F.struct("range", "until", "words", "wanted")).alias("cut")
     cuts = ranges.groupBy(F.col("source").alias("of")).agg(cut)
-    cuts = cuts.select(
+    return cuts.select(
         "of",
         F.col("cut.range").alias("cut"),
         (F.col("cut.until") - F.col("cut.words")).alias("before"),
         F.col("cut.wanted").alias("wanted"),
     )
-    rows = drawn.join(
-        small_or_not(stored(cuts, "cuts"), 64), F.col("source").eqNullSafe(F.col("of")), "left"
-    )
+
+
+def _judged(drawn: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Rows outside of their source's cut with their copies; rows in it with none yet."""
+    cuts = bounded(cuts, "of")
+    rows = drawn.join(cuts, F.col("source").eqNullSafe(F.col("of")), "left")
     at_cut = F.coalesce(F.col("range") == F.col("cut"), F.lit(False))
     beyond = F.coalesce(F.col("range") > F.col("cut"), F.lit(False))
-    clear = rows.filter(~at_cut).withColumn("more", F.col("rank").isNotNull() & ~beyond)
+    more = (F.col("rank").isNotNull() & ~beyond).cast("long")
+    return rows.withColumn("copies", F.when(~at_cut, F.col("certain") + more))
+
+
+def _in_cuts(drawn: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Rows in the cuts, by rank as long as the words come nearer to the target, with their copies."""
+    last = _judged(drawn, cuts).filter("copies is null")
     in_order = Window.partitionBy("source").orderBy("rank", "doc_id", "size")
     words = F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
     reached = F.col("before") + words - F.col("size") / 2
-    last = rows.filter(at_cut).withColumn("more", reached <= F.col("wanted"))
-    rows = clear.unionByName(last).withColumn(
-        "copies", F.col("certain") + F.col("more").cast("long")
-    )
+    more = (reached <= F.col("wanted")).cast("long")
+    return last.withColumn("copies", F.col("certain") + more)
+
+
+def _taken(drawn: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Documents by rank as long as the words of their source come nearer to its target."""
+    clear = _judged(drawn, cuts).filter("copies is not null")
+    rows = clear.unionByName(_in_cuts(drawn, cuts))
     return rows.select(
         "doc_id",
         "source",
@@ -203,21 +229,34 @@ def _taken(drawn: DataFrame) -> DataFrame:
     )
 
 
-def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    share: float = SHARE,
+    most: int = MOST,
+    seed: str = SEED,
+    key: str = "doc_id",
+    text: str = "text",
+    source: str = "source",
+) -> DataFrame:
     """``docs`` as the mix takes them: rows of two copies come twice, rows of none go.
 
-    The columns are those of ``docs``; rows that share a key, a source and a size share
-    their copies, the larger number of them, and so do such rows with a null key.
+    The columns are those of ``docs``. Each row's copies follow from its own values and
+    its source's plan, so whole rows are neither shuffled nor stored; only rows in
+    the range of ranks where a source reaches its target are looked up, and such
+    rows that share a key, a source and a size share the larger number of copies.
     """
-    key, text = options.get("key", "doc_id"), options.get("text", "text")
-    source = options.get("source", "source")
-    taken = mix(docs, **options).filter("copies > 0")
-    taken = taken.groupBy(
-        F.col("doc_id").alias("_key"), F.col("source").alias("_source"), F.col("size").alias("_size")
-    ).agg(F.max("copies").alias("_copies"))
-    rows = docs.withColumn("_words", _size(text))
-    same = F.col(key).eqNullSafe(F.col("_key")) & F.col(source).eqNullSafe(F.col("_source"))
-    same = same & (F.col("_words") == F.col("_size"))
-    rows = rows.join(small_or_not(stored(taken, "taken"), 64), same)
-    times = F.sequence(F.lit(1).cast("long"), F.col("_copies"))
-    return rows.withColumn("_copy", F.explode(times)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    drawn, plans, cuts = _planned(docs, weights, share, most, seed, key, text, source)
+    last = _in_cuts(drawn, cuts).groupBy(
+        F.col("doc_id").alias("k"), F.col("source").alias("s"), F.col("size").alias("n")
+    )
+    last = bounded(stored(last.agg(F.max("copies").alias("decided")), "last"), "s")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = _drawn(docs.select(row, *_asked(key, text, source, seed)), plans, most, "row")
+    rows = _judged(rows, cuts)
+    same = F.col("doc_id").eqNullSafe(F.col("k")) & F.col("source").eqNullSafe(F.col("s"))
+    same = same & (F.col("size") == F.col("n"))
+    looked_up = rows.filter("copies is null").join(last, same).select("row", F.col("decided").alias("copies"))
+    rows = rows.select("row", "copies").filter("copies is not null").unionByName(looked_up)
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")
+    return rows.filter("copies > 0").select("row", times).select("row.*")

@@ -71,7 +71,7 @@ def discard(*tables: DataFrame) -> None:
 
 def bounded(df: DataFrame, *texts: str) -> DataFrame:
     """Marked for broadcast if its rows, with the real lengths of these text columns, take little enough."""
-    lengths = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in texts), F.lit(16 * len(df.columns)))
+    lengths = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in texts), F.lit(16 * len(df.columns)))
     size = df.agg(F.sum(lengths.cast("long"))).first()[0] or 0
     return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
