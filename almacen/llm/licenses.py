@@ -20,6 +20,8 @@ of Apache, GPL, LGPL, MPL and others are not there; ``scan`` takes a table with
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +29,9 @@ from almacen.llm.license_texts import KNOWN, SPELLINGS
 from almacen.llm.stored import bounded, prepared, stored
 
 #: All patterns mean the same to Java's and to RE2's regular expressions.
-NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F ‐‑‒–—―‘’“”•…]+"
+_NO_WORD = r"\x00-\x2F\x3A-\x60\x7B-\x7F ‐‑‒–—―‘’“”•…"
+NOT_WORD = f"[{_NO_WORD}]+"
+_FIRST_WORD = f"^[{_NO_WORD}]*([^{_NO_WORD}]+)"
 #: What follows a notice, be it on the same line.
 OPENINGS = (
     "permission is hereby granted",
@@ -74,6 +78,8 @@ BODY_LINE = rf"{_FIRST}copyright\s*{_NO_HOLDER}\b"
 BROKEN_HYPHEN = r"([a-z])-\s+([a-z])"
 #: Texts without any of these have no notice.
 SIGNS = ("copyright", "(c)", "©")
+#: First words of spellings that are several words.
+_ODD_WORDS = sorted({re.split("[ -]", v)[0] for v, _ in SPELLINGS if re.search("[ -].", v)})
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -124,10 +130,14 @@ def _canonical(cleared):
 
 
 def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
-    """(digest, license) of known texts; texts that are alike keep the first name."""
+    """(digest, license, begins) of known texts; texts that are alike keep the first name.
+
+    begins is the first word of the canonical form.
+    """
     rows = spark.createDataFrame(list(known), "license string, text string")
-    digests = rows.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "license")
-    return digests.groupBy("digest").agg(F.min("license").alias("license"))
+    form = canonical(F.col("text"))
+    rows = rows.select(F.sha2(form, 256).alias("digest"), "license", F.substring_index(form, " ", 1).alias("begins"))
+    return rows.groupBy("digest", "begins").agg(F.min("license").alias("license"))
 
 
 def scan(
@@ -137,13 +147,17 @@ def scan(
 
     license is that of the whole text, or null; notices lists the different
     licenses that single lines name, by name, and n_notices counts those lines.
+    ``known`` has columns digest, license and begins, the first word of the canonical form.
     Rows are judged by their text alone, so null and repeated keys are as good as others.
     Null and empty texts have the digest of the empty form and no license. Texts of
     any length are read whole; other columns are not looked at; no rows give no rows.
     """
     spark = prepared(docs.sparkSession)
     known = known_digests(spark) if known is None else known
-    known = bounded(stored(known, "known"), "digest", "license")
+    known = stored(known, "known")
+    odd_words = spark.createDataFrame([(w,) for w in _ODD_WORDS], "begins string")
+    begins = bounded(known.select("begins").union(odd_words).distinct(), "begins")
+    known = bounded(known.select("digest", "license"), "digest", "license")
     content = F.col(text).cast("string")
     given = docs.select(
         F.col(key).alias("doc_id"),
@@ -154,8 +168,16 @@ def scan(
     whole = given.select("doc_id", "id", digest).join(
         known, F.col("text_digest") == F.col("digest"), "left"
     )
-    lines = given.select("id", F.posexplode(F.split(_spelled(F.col("cleared")), "\n")).alias("at", "line"))
-    lines = lines.withColumn("line", F.sha2(_words_only(F.col("line")), 256))
+    lines = given.select("id", F.posexplode(F.split(F.col("cleared"), "\n")).alias("at", "line"))
+    # Only lines that begin as a known text does are worth a digest. A word that begins
+    # another spelling of several words may become any first word.
+    word = F.regexp_extract("line", _FIRST_WORD, 1)
+    lines = lines.withColumn("word", word).filter("word != ''")
+    odd = F.col("word").isin(*_ODD_WORDS)
+    spelled = F.trim(_spelled(F.concat("word", F.lit(" "))))
+    lines = lines.withColumn("word", F.when(odd, F.col("word")).otherwise(spelled))
+    lines = lines.join(begins, F.col("word") == F.col("begins"))
+    lines = lines.withColumn("line", F.sha2(_words_only(_spelled(F.col("line"))), 256))
     named = lines.join(known, F.col("line") == F.col("digest"))
     # Copies of a text have the same lines.
     named = named.select("id", "at", "license").distinct().groupBy(F.col("id").alias("of"))
