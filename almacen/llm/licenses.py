@@ -120,11 +120,14 @@ def _without_notices(lowered):
 
 def canonical(text):
     """The canonical form of a text column; null counts as empty."""
-    return _canonical(_without_notices(_lowered(text)))
+    return _canonical(_spaced(_without_notices(_lowered(text))))
 
 
-def _canonical(cleared):
-    spaced = F.regexp_replace(cleared, r"\s+", " ")
+def _spaced(cleared):
+    return F.regexp_replace(cleared, r"\s+", " ")
+
+
+def _canonical(spaced):
     whole = F.regexp_replace(spaced, BROKEN_HYPHEN, "$1-$2")  # a line broken at a hyphen
     return _words_only(_spelled(F.when(F.contains(spaced, F.lit("- ")), whole).otherwise(spaced)))
 
@@ -162,10 +165,13 @@ def scan(
     given = docs.select(
         F.col(key).alias("doc_id"),
         F.md5(F.coalesce(content, F.lit(""))).alias("id"),
-        _without_notices(_lowered(content)).alias("cleared"),
+        _lowered(content).alias("lowered"),
     )
-    digest = F.sha2(_canonical(F.col("cleared")), 256).alias("text_digest")
-    whole = given.select("doc_id", "id", digest).join(
+    # One step each: what a later step names several times is computed once.
+    given = given.select("doc_id", "id", _without_notices(F.col("lowered")).alias("cleared"))
+    whole = given.select("doc_id", "id", _spaced(F.col("cleared")).alias("spaced"))
+    digest = F.sha2(_canonical(F.col("spaced")), 256).alias("text_digest")
+    whole = whole.select("doc_id", "id", digest).join(
         known, F.col("text_digest") == F.col("digest"), "left"
     )
     lines = given.select("id", F.posexplode(F.split(F.col("cleared"), "\n")).alias("at", "line"))
