@@ -1,19 +1,27 @@
 """Language-model scoring by class bigrams in the manner of Brown et al.
 
-Words are mapped to units. A word that makes up at least SHARE of the training
-tokens is a unit of its own, so there are at most 1 / SHARE of these, whatever
-the input; every rarer or unknown word belongs to the unit of its signature (its
-last letters and its length), and the end of a text is a unit too. Exchange
-clustering assigns units to classes: each sweep counts, over all training
-texts, how often each unit follows and precedes each class, and moves units to
-the class that raises the likelihood of the class bigrams most. The model is
-
-    P(word | before) = P(word | unit) * (CLASS_WEIGHT * P(class | class before) * P(unit | class)
-                                         + (1 - CLASS_WEIGHT) * P(unit))
-
-with add-one counts. Everything known for each unit is bounded and broadcast.
-What is known for each rare word is not: rare words are joined with their counts
-by a shuffle, and as P(word | unit) is a factor of its own, only sums go back.
+Every training word has a class of its own choice, found by exchange clustering
+in two steps.
+
+1. *Sweeps over units.* A word that makes up at least SHARE of the training tokens
+   is a unit, so there are at most 1 / SHARE of these and their classes fit every
+   task; all rarer words stand in under the unit of their signature (last letters
+   and length), and the end of a text is a unit too. Each sweep counts, over all
+   training texts, how often each unit follows and precedes each class, and moves
+   units to the class that raises the likelihood of the class bigrams most.
+2. *All other words.* Their neighbours' classes are summed by a shuffle on the word,
+   and each word moves, from the class of its signature, by the same rule from
+   its own row. This table grows with the vocabulary and is only ever joined.
+
+The class bigrams are then counted again with every word in its own class. With
+m = 1 + the training count of a word, and totals T of m by class and M of all,
+
+    P(word | before) = m * (CLASS_WEIGHT * P(class | class before) / T(class)
+                            + (1 - CLASS_WEIGHT) / M)
+
+An unseen word has m = 1 and the class of its signature; T and M hold one such event
+for each signature. So a text's score is the sum of log m, for which rare words are
+joined with their counts, and of a value for each bigram of classes in it.
 """
 
 from __future__ import annotations
@@ -33,7 +41,7 @@ from pyspark.sql import functions as F
 from almacen.llm import words
 from almacen.llm.stored import prepared, stored
 
-#: Words with at least this share of the training tokens are units of their own.
+#: Words with at least this share of the training tokens take part in the sweeps as units.
 SHARE = 1e-6
 CLASSES = 32
 SWEEPS = 3
@@ -98,8 +106,7 @@ class Units:
 
     frequent: np.ndarray  # sorted hashes of the frequent words
     counts: np.ndarray  # training tokens of each unit
-    rare_tokens: np.ndarray  # by signature: training tokens of rare words
-    rare_words: np.ndarray  # by signature: distinct rare words
+    often: int  # a word with so many training tokens is a unit
     tokens: int
     distinct: int
 
@@ -121,34 +128,44 @@ def _units_of(vocabulary: DataFrame) -> Units:
     hashes = frequent["word"].to_numpy(dtype=np.int64).astype(np.uint64)
     order = np.argsort(hashes)
     rare_tokens = np.zeros(_SIGNATURES, dtype=np.int64)
-    rare_words = np.zeros(_SIGNATURES, dtype=np.int64)
     rare = plain.filter(F.col("n") < often).groupBy("signature")
-    for signature, n, k in rare.agg(F.sum("n"), F.count("*")).collect():
-        rare_tokens[signature], rare_words[signature] = n, k
+    for signature, n in rare.agg(F.sum("n")).collect():
+        rare_tokens[signature] = n
     counts = np.concatenate([[ends], rare_tokens, frequent["n"].to_numpy(np.int64)[order]])
-    return Units(hashes[order], counts, rare_tokens, rare_words, int(tokens), int(distinct))
+    return Units(hashes[order], counts, often, int(tokens), int(distinct))
+
+
+def _is_rare(line: np.ndarray) -> np.ndarray:
+    return (line > 0) & (line < _FIRST_WORD)
 
 
 def _encoded(batches, units) -> Iterator[pa.RecordBatch]:
-    """Each text as units, with the words of no unit of their own apart."""
+    """Each text as units, with its rare words apart.
+
+    ``rare`` lists the text's different rare words, ``times`` how often each occurs, and
+    ``spots`` the place in that list of each rare token, in the order of the text.
+    """
     units = units.value
     task = TaskContext.get().partitionId() << 40
     logs = np.log10(units.counts + 1.0)
     done = 0
     for batch in batches:
-        sizes, packed, known, own, rare, times = [], [], [], [], [], []
+        sizes, packed, known, own, rare, times, spots = [], [], [], [], [], [], []
         for _, rows, bounds in words.of_texts(batch.column(2), _hash_and_signature):
             unit = units.of(rows)
             for i, j in zip(bounds[:-1], bounds[1:]):
                 text = np.append(unit[i:j], 0)
-                single = text[(text >= _FIRST_WORD) | (text == 0)]
+                single = text[~_is_rare(text)]
                 sizes.append(j - i + 1)
                 packed.append(text.astype("<i4").tobytes())
                 known.append(int((units.counts[single] > 0).sum()))
                 own.append(float(logs[single].sum()))
-                hashes, n = np.unique(rows[i:j, 0][unit[i:j] < _FIRST_WORD], return_counts=True)
+                hashes, places, n = np.unique(
+                    rows[i:j, 0][_is_rare(unit[i:j])], return_inverse=True, return_counts=True
+                )
                 rare.append(hashes.astype(np.int64))
                 times.append(n)
+                spots.append(places.astype("<i4").tobytes())
         cuts = pa.array(np.cumsum([0] + [len(r) for r in rare], dtype=np.int32))
         flat = [np.concatenate([np.empty(0, np.int64), *x]) for x in (rare, times)]
         yield pa.RecordBatch.from_pydict(
@@ -162,6 +179,7 @@ def _encoded(batches, units) -> Iterator[pa.RecordBatch]:
                 "own": pa.array(own, pa.float64()),
                 "rare": pa.ListArray.from_arrays(cuts, pa.array(flat[0])),
                 "times": pa.ListArray.from_arrays(cuts, pa.array(flat[1])),
+                "spots": pa.array(spots, pa.binary()),
             }
         )
         done += batch.num_rows
@@ -319,25 +337,169 @@ def _clustered(texts: DataFrame, units: Units, sweeps: int) -> tuple[np.ndarray,
     return classes, bigrams
 
 
-def _unit_scores(batches, units, classes, bigrams) -> Iterator[pa.RecordBatch]:
-    """log10 of the units' probabilities in their order, summed for each text."""
-    units, classes = units.value, classes.value
-    n = units.counts + 1.0
-    after = (bigrams + 1.0) / (bigrams.sum(axis=1)[:, None] + CLASSES)
-    in_class = n / np.bincount(classes, n, minlength=CLASSES)[classes]
-    alone = n / n.sum()
-    inside = np.zeros(len(n))
-    inside[1:_FIRST_WORD] = -np.log10(units.rare_tokens + units.rare_words + 1.0)
+def _rare_places(batches, classes) -> Iterator[pa.RecordBatch]:
+    """How often each rare word stands between two classes, summed as far as a task holds them."""
+    classes = classes.value
+    gathered: list[np.ndarray] = []
+    held = 0
+
+    def packed():
+        every = np.concatenate(gathered)
+        every = every[np.lexsort((every[:, 1], every[:, 0]))]
+        first = np.flatnonzero(np.append(True, (every[1:] != every[:-1]).any(axis=1)))
+        return pa.RecordBatch.from_pydict(
+            {
+                "word": pa.array(every[first, 0], pa.int64()),
+                "place": pa.array(every[first, 1].astype(np.int32), pa.int32()),
+                "n": pa.array(np.diff(np.append(first, len(every))), pa.int64()),
+            }
+        )
+
     for batch in batches:
-        scores = []
-        for text in batch.column(1).to_pylist():
-            line = np.frombuffer(text, dtype="<i4").astype(np.int64)
-            before = classes[np.concatenate([[0], line[:-1]])]
-            p = CLASS_WEIGHT * after[before, classes[line]] * in_class[line]
-            p += (1 - CLASS_WEIGHT) * alone[line]
-            scores.append(float(np.log10(p).sum() + inside[line].sum()))
+        bounds = np.append(0, np.cumsum(batch.column(2).value_lengths().to_numpy()))
+        hashes = batch.column(2).flatten().to_numpy()
+        for i, (text, spots) in enumerate(zip(*(batch.column(k).to_pylist() for k in (0, 1)))):
+            line = np.frombuffer(text, dtype="<i4")
+            at = np.flatnonzero(_is_rare(line))
+            if len(at):
+                own = classes[line]
+                # A text ends with its end, which also stands before its first word.
+                place = own[at - 1] * CLASSES + own[at + 1]
+                rare = hashes[bounds[i] : bounds[i + 1]][np.frombuffer(spots, dtype="<i4")]
+                gathered.append(np.column_stack([rare, place]))
+                held += len(at)
+            if held >= 2 * _GATHER:
+                yield packed()
+                gathered, held = [], 0
+    if held:
+        yield packed()
+
+
+def _best_classes(
+    bigrams: np.ndarray, own: np.ndarray, before: np.ndarray, after: np.ndarray
+) -> np.ndarray:
+    """As ``_best_class``, for many words: one row each of before and after."""
+    gain = np.zeros((len(own), CLASSES))
+    every = np.arange(len(own))
+    for table, here, across in ((bigrams, after, before), (bigrams.T, before, after)):
+        word, beside = np.nonzero(here)
+        n = here[word, beside]
+        rest = table[:, beside].T.copy()
+        rest[np.arange(len(word)), own[word]] -= n
+        self_side = beside == own[word]
+        rest[self_side] -= across[word[self_side]]
+        rest = np.maximum(rest, 0)
+        more = _n_log_n(rest + n[:, None]) - _n_log_n(rest)
+        first = np.flatnonzero(np.diff(word, prepend=-1))
+        if len(first):
+            gain[word[first]] += np.add.reduceat(more, first)
+        size = here.sum(axis=1)
+        totals = table.sum(axis=1) - across
+        totals[every, own] -= size
+        totals = np.maximum(totals, 0)
+        gain -= _n_log_n(totals + size[:, None]) - _n_log_n(totals)
+    best = gain.argmax(axis=1)
+    return np.where(gain[every, best] > gain[every, own] + 1e-9, best, own)
+
+
+def _moved(batches, classes, bigrams: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The class of each rare word, from the places it stands in."""
+    classes, bigrams = classes.value, bigrams.astype(np.float64)
+    for batch in batches:
+        own = classes[1 + batch.column(1).to_numpy()]
+        lengths = batch.column(3).value_lengths().to_numpy()
+        word = np.repeat(np.arange(batch.num_rows), lengths)
+        seen = batch.column(3).flatten()
+        place = seen.field("place").to_numpy().astype(np.int64)
+        n = seen.field("n").to_numpy().astype(np.float64)
+        size = batch.num_rows * CLASSES
+        before = np.bincount(word * CLASSES + place // CLASSES, n, minlength=size)
+        after = np.bincount(word * CLASSES + place % CLASSES, n, minlength=size)
+        found = _best_classes(bigrams, own, before.reshape(-1, CLASSES), after.reshape(-1, CLASSES))
         yield pa.RecordBatch.from_pydict(
-            {"row": batch.column(0), "ordered": pa.array(scores, pa.float64())}
+            {"word": batch.column(0), "n": batch.column(2), "class": pa.array(found, pa.int32())}
+        )
+
+
+def _rare_classes(texts: DataFrame, rare: DataFrame, classes, bigrams: np.ndarray) -> DataFrame:
+    """word, n and class of every rare training word."""
+    trains = texts.filter("trains").select("units", "spots", "rare")
+    places = trains.mapInArrow(lambda b: _rare_places(b, classes), "word long, place int, n long")
+    # One shuffle, on the word, serves both sums; a rare word has few rows, and CLASSES squared places.
+    places = places.repartition("word").groupBy("word", "place").agg(F.sum("n").alias("n"))
+    places = places.groupBy("word").agg(F.collect_list(F.struct("place", "n")).alias("places"))
+    words_with = rare.join(places, "word").select("word", "signature", "n", "places")
+    return stored(
+        words_with.mapInArrow(lambda b: _moved(b, classes, bigrams), "word long, n long, class int"),
+        "rare",
+    )
+
+
+def _classed(batches, classes) -> Iterator[pa.RecordBatch]:
+    """The class of each token of a text, rare words in their own."""
+    classes = classes.value
+    for batch in batches:
+        lines = []
+        columns = [batch.column(k).to_pylist() for k in (0, 1)]
+        bounds = np.append(0, np.cumsum(batch.column(2).fill_null([]).value_lengths().to_numpy()))
+        known = batch.column(2).flatten().to_numpy()
+        for i, (text, spots) in enumerate(zip(*columns)):
+            line = np.frombuffer(text, dtype="<i4")
+            own = classes[line]
+            spots = np.frombuffer(spots, dtype="<i4")
+            mine = known[bounds[i] : bounds[i + 1]]
+            if len(mine):
+                of_spot = np.full(int(spots.max()) + 1, -1)
+                of_spot[mine // CLASSES] = mine % CLASSES
+                found, at = of_spot[spots], np.flatnonzero(_is_rare(line))
+                own[at] = np.where(found >= 0, found, own[at])
+            lines.append(own.astype(np.uint8).tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(lines, pa.binary()), *batch.columns[3:]],
+            names=["classes", *batch.schema.names[3:]],
+        )
+
+
+def _pairs(line: bytes) -> np.ndarray:
+    """How often each class follows each class; the end stands before the first word."""
+    own = np.frombuffer(line, dtype=np.uint8).astype(np.int64)
+    before = np.append(own[-1], own[:-1])
+    return np.bincount(before * CLASSES + own, minlength=CLASSES * CLASSES)
+
+
+def _pair_counts(batches) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(CLASSES * CLASSES, dtype=np.int64)
+    for batch in batches:
+        for line in batch.column(0).to_pylist():
+            total += _pairs(line)
+    yield pa.RecordBatch.from_pydict(
+        {"place": pa.array(np.arange(len(total)), pa.int32()), "n": pa.array(total, pa.int64())}
+    )
+
+
+def _values(classed: DataFrame, rare: DataFrame, units: Units, classes: np.ndarray) -> np.ndarray:
+    """log10 of what the model adds to log m for each bigram of classes."""
+    seen = np.zeros(CLASSES * CLASSES, dtype=np.int64)
+    counted = classed.filter("trains").select("classes").mapInArrow(_pair_counts, "place int, n long")
+    for place, n in counted.groupBy("place").agg(F.sum("n")).collect():
+        seen[place] = n
+    bigrams = seen.reshape(CLASSES, CLASSES)
+    mass = units.counts + 1.0
+    mass[1:_FIRST_WORD] = 1.0  # the unseen words of a signature; its seen ones follow
+    totals = np.bincount(classes, mass, minlength=CLASSES)
+    for own, m in rare.groupBy("class").agg(F.sum(F.col("n") + 1)).collect():
+        totals[own] += m
+    after = (bigrams + 1.0) / (bigrams.sum(axis=1)[:, None] + CLASSES)
+    in_class = np.divide(after, totals, out=np.zeros_like(after), where=totals > 0)
+    return np.log10(CLASS_WEIGHT * in_class + (1 - CLASS_WEIGHT) / totals.sum()).ravel()
+
+
+def _ordered(batches, values: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sums = [float(_pairs(line) @ values) for line in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(sums, pa.float64()), *batch.columns[1:]],
+            names=["ordered", *batch.schema.names[1:]],
         )
 
 
@@ -367,31 +529,43 @@ def score_texts(
         given.mapInArrow(
             lambda b: _encoded(b, shared),
             f"row long, key {kind}, trains boolean, n_tokens long, units binary, known long, "
-            "own double, rare array<long>, times array<long>",
+            "own double, rare array<long>, times array<long>, spots binary",
         ),
         "texts",
     )
     classes, bigrams = _clustered(texts, units, sweeps)
     of_unit = spark.sparkContext.broadcast(classes)
-    ordered = texts.select("row", "units").mapInArrow(
-        lambda b: _unit_scores(b, shared, of_unit, bigrams), "row long, ordered double"
+    plain = F.col("word") != F.lit(int(_END.astype(np.int64)))
+    rare = vocabulary.filter(plain & (F.col("n") < units.often))
+    rare = _rare_classes(texts, rare, of_unit, bigrams)
+    seen = texts.select("row", "times", F.posexplode("rare").alias("spot", "word"))
+    seen = seen.withColumn("times", F.col("times")[F.col("spot")]).join(rare, "word").groupBy("row")
+    seen = seen.agg(
+        F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("rare_logs"),
+        F.sum("times").alias("rare_known"),
+        F.collect_list(F.col("spot") * CLASSES + F.col("class")).alias("found"),
     )
-    rare = texts.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x"))
-    rare = rare.select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
-    rare = rare.join(vocabulary.select("word", "n"), "word", "left").groupBy("row")
-    rare = rare.agg(
-        F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 1)).alias("rare_logs"),
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("rare_known"),
+    joined = texts.drop("rare", "times").join(seen, "row", "left").select(
+        "units",
+        "spots",
+        "found",
+        "key",
+        "trains",
+        "n_tokens",
+        (F.col("known") + F.coalesce("rare_known", F.lit(0).cast("long"))).alias("n_known"),
+        (F.col("own") + F.coalesce("rare_logs", F.lit(0.0))).alias("logs"),
     )
-    per_text = texts.select("row", "key", "n_tokens", "known", "own")
-    joined = per_text.join(ordered, "row").join(rare, "row", "left")
-    logs = F.coalesce("rare_logs", F.lit(0.0))
+    numbers = f"key {kind}, trains boolean, n_tokens long, n_known long, logs double"
+    classed = stored(
+        joined.mapInArrow(lambda b: _classed(b, of_unit), f"classes binary, {numbers}"), "classed"
+    )
+    values = _values(classed, rare, units, classes)
     each = math.log10(units.tokens + (units.distinct + 1))
-    return joined.select(
+    return classed.mapInArrow(lambda b: _ordered(b, values), f"ordered double, {numbers}").select(
         F.col("key").alias(key),
         "n_tokens",
-        (F.col("known") + F.coalesce("rare_known", F.lit(0).cast("long"))).alias("n_known"),
+        "n_known",
         F.lit(units.tokens).cast("long").alias("train_tokens"),
-        (F.col("own") + logs - F.col("n_tokens") * F.lit(each)).alias("base_score"),
-        (F.col("ordered") + logs).alias("score"),
+        (F.col("logs") - F.col("n_tokens") * F.lit(each)).alias("base_score"),
+        (F.col("logs") + F.col("ordered")).alias("score"),
     )
