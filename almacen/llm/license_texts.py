@@ -142,3 +142,27 @@ KNOWN = (
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
 )
+
+#: The SHA-256 of the canonical form of whole licenses too long to be given here,
+#: as their publishers word them, with web addresses by http and by https.
+WHOLE_DIGESTS = (
+    ("Apache-2.0", "036b5ff6d47b44974c624da95e5bf0ac7ddfe5030e41dfa7ff8ac0c1daa9f32b"),
+    ("Apache-2.0", "45c5565dedc03ff2a570c67c5af611f8a3d0a0227c6e81d9fb11fbf0c004b959"),
+    ("GPL-1.0", "d98bca1875592c382caba655043aec268528bc17c9d7c0a9e892b953378effa6"),
+    ("GPL-2.0", "464b45d65c9fb612f6ba2e2d21a6aacd7b621de2ef4db62d3a6c599c228fd982"),
+    ("GPL-3.0", "a8cd54d6683aa630f0b8d05d56184ad91dc486756da2df61c94d3e4e8d5ecb68"),
+    ("GPL-3.0", "eaab5d82fdcca441d83a1913bbf07e4de3a739e190578c0bffde24f84e93bb2a"),
+    ("LGPL-2.0", "4401e0261a8caf4fd55eeb0e816fda06bbc9e4b2605767f5ffdf843a5c70e07e"),
+    ("LGPL-2.1", "599d9303049b507aa89582ee08dd4ddaba298764648558e7bf8e78309807bfaa"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "3f0343dd4f3b064be36e0c6584737c9b7bb5c322721694563f9009e088ce96d1"),
+    ("MPL-1.1", "a1b36de49a400e3d3385d5987188db954a084f9876243aa7207cd91de3f24a7b"),
+    ("MPL-2.0", "6fedd8db6adb0e102fc0f69b9e1501d2edaf25940e34910831cab46f9f5d4e4d"),
+    ("MPL-2.0", "4019e4c8fe9ede57c538b37b3332dc097a88c163e273bb6905d38316e63c2eb6"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GFDL-1.2", "0327fb9f65b4827028df5e94d80b21999dc5b1bf864bf765e703624713563b16"),
+    ("GFDL-1.2", "f416312175fb5ff91a3e261e92c7c7bbb67fac12942bd339a60c8f95d1c6c974"),
+    ("GFDL-1.3", "d4786b88185d360e9d5914c2ecdeefce618d6bf3eeb60095ae5e1a3fd91c67cd"),
+    ("GFDL-1.3", "19cac36ea8529518168d682c289ece709d150829da6677b208325faa1b8904d6"),
+    ("Artistic-1.0-Perl", "08f1dc258c8f9e175155356aa1dd0dead8cfdec586bc1bb4c8b1452699a91702"),
+)

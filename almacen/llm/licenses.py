@@ -13,9 +13,11 @@ year or a holder ('copyright notice' or 'copyright holders' begin body text), an
 to an opening in that line or to its end. So a license has the same digest
 however its lines are broken.
 
-Only the texts of ``license_texts`` can be recognised: six whole licenses (MIT, ISC, 0BSD,
-BSD-2-Clause, BSD-3-Clause, Zlib) and one-sentence notices of some others. The whole texts
-of Apache, GPL, LGPL, MPL and others are not there; ``scan`` takes a table with more.
+Only what ``license_texts`` holds can be recognised: the whole texts of MIT, ISC, 0BSD,
+BSD-2-Clause, BSD-3-Clause and Zlib, the digests of whole Apache-2.0, GPL, LGPL, MPL, GFDL, CC0-1.0
+and Artistic texts, and one-sentence notices of some. A GPL text does not say whether later versions
+are allowed, so it is named without 'only' or 'or later'; those with a form for notices at their
+end are known as long as its notice starts a line. ``scan`` takes a table with more.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from almacen.llm.license_texts import KNOWN, SPELLINGS
+from almacen.llm.license_texts import KNOWN, SPELLINGS, WHOLE_DIGESTS
 from almacen.llm.stored import bounded, prepared, stored
 
 #: All patterns mean the same to Java's and to RE2's regular expressions.
@@ -132,15 +134,25 @@ def _canonical(spaced):
     return _words_only(_spelled(F.when(F.contains(spaced, F.lit("- ")), whole).otherwise(spaced)))
 
 
-def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
+def known_digests(
+    spark: SparkSession,
+    known: tuple[tuple[str, str], ...] = KNOWN,
+    wholes: tuple[tuple[str, str], ...] = WHOLE_DIGESTS,
+) -> DataFrame:
     """(digest, license, begins) of known texts; texts that are alike keep the first name.
 
-    begins is the first word of the canonical form.
+    begins is the first word of the canonical form. It is null for ``wholes``, which are
+    given by their digests: they are looked for as whole documents and not in lines.
     """
     rows = spark.createDataFrame(list(known), "license string, text string")
     form = canonical(F.col("text"))
     rows = rows.select(F.sha2(form, 256).alias("digest"), "license", F.substring_index(form, " ", 1).alias("begins"))
-    return rows.groupBy("digest", "begins").agg(F.min("license").alias("license"))
+    texts = rows.groupBy("digest", "begins").agg(F.min("license").alias("license"))
+    if not wholes:
+        return texts
+    wholes = spark.createDataFrame(list(wholes), "license string, digest string")
+    wholes = wholes.groupBy("digest").agg(F.min("license").alias("license"))
+    return texts.unionByName(wholes.withColumn("begins", F.lit(None).cast("string")))
 
 
 def scan(
@@ -150,7 +162,8 @@ def scan(
 
     license is that of the whole text, or null; notices lists the different
     licenses that single lines name, by name, and n_notices counts those lines.
-    ``known`` has columns digest, license and begins, the first word of the canonical form.
+    ``known`` has columns digest, license and begins, the first word of the canonical form;
+    where that is null, only whole texts are compared.
     Rows are judged by their text alone, so null and repeated keys are as good as others.
     Null and empty texts have the digest of the empty form and no license. Texts of
     any length are read whole; other columns are not looked at; no rows give no rows.
@@ -159,8 +172,11 @@ def scan(
     known = known_digests(spark) if known is None else known
     known = stored(known, "known")
     odd_words = spark.createDataFrame([(w,) for w in _ODD_WORDS], "begins string")
-    begins = bounded(known.select("begins").union(odd_words).distinct(), "begins")
-    known = bounded(known.select("digest", "license"), "digest", "license")
+    in_lines = known.filter("begins is not null")
+    begins = bounded(in_lines.select("begins").union(odd_words).distinct(), "begins")
+    in_lines = bounded(in_lines.select("digest", "license"), "digest", "license")
+    known = known.groupBy("digest").agg(F.min("license").alias("license"))
+    known = bounded(known, "digest", "license")
     content = F.col(text).cast("string")
     given = docs.select(
         F.col(key).alias("doc_id"),
@@ -184,7 +200,7 @@ def scan(
     lines = lines.withColumn("word", F.when(odd, F.col("word")).otherwise(spelled))
     lines = lines.join(begins, F.col("word") == F.col("begins"))
     lines = lines.withColumn("line", F.sha2(_words_only(_spelled(F.col("line"))), 256))
-    named = lines.join(known, F.col("line") == F.col("digest"))
+    named = lines.join(in_lines, F.col("line") == F.col("digest"))
     # Copies of a text have the same lines.
     named = named.select("id", "at", "license").distinct().groupBy(F.col("id").alias("of"))
     named = named.agg(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from almacen.llm.chat_format import END, START
-from almacen.llm.license_texts import KNOWN, SPELLINGS
+from almacen.llm.license_texts import KNOWN, SPELLINGS, WHOLE_DIGESTS
 from almacen.llm.licenses import (
     BEGINS_OPEN,
     BODY_LINE,
@@ -199,6 +199,8 @@ with texts(license, text) as (
     from ({_CLEARED} from (select *, {_PARTS} as paragraphs from (
         select license, translate(text, '{UPPER}', '{LOWER}') as lowered from texts)))
     group by 1
+), wholes as (
+    select * from known union all values {", ".join(f"('{d}', '{name}')" for name, d in WHOLE_DIGESTS)}
 ), given as (
     {_CLEARED} from (select *, {_PARTS} as paragraphs from (
         select row_number() over () as row, doc_id,
@@ -212,7 +214,7 @@ with texts(license, text) as (
 )
 select g.doc_id, {_WHOLE} as text_digest, k.license,
     coalesce(notices, '') as notices, coalesce(n_notices, 0) as n_notices
-from given g left join known k on k.digest = {_WHOLE}
+from given g left join wholes k on k.digest = {_WHOLE}
 left join named n on n.row = g.row
 """
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import textwrap
+from pathlib import Path
 
 import duckdb
 import pandas as pd
@@ -80,3 +81,51 @@ def test_rows_without_a_key_have_their_own_notices(spark):
     assert sorted((r["doc_id"] or 0, r["notices"], r["n_notices"]) for r in found) == [
         (0, "", 0), (0, "MIT", 1), (1, "", 0), (1, "CC-BY-4.0", 1)
     ]
+
+
+#: Where Debian keeps whole license texts.
+FOLDER = Path("/usr/share/common-licenses")
+FILES = {
+    "Apache-2.0": "Apache-2.0",
+    "GPL-1.0": "GPL-1",
+    "GPL-2.0": "GPL-2",
+    "GPL-3.0": "GPL-3",
+    "LGPL-2.0": "LGPL-2",
+    "LGPL-2.1": "LGPL-2.1",
+    "LGPL-3.0": "LGPL-3",
+    "MPL-1.1": "MPL-1.1",
+    "MPL-2.0": "MPL-2.0",
+    "CC0-1.0": "CC0-1.0",
+    "GFDL-1.2": "GFDL-1.2",
+    "GFDL-1.3": "GFDL-1.3",
+    "Artistic-1.0-Perl": "Artistic",
+}
+#: These end with a form whose notice is a line of its own, which breaking lines anew would move.
+WITH_FORM = ("GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "GFDL-1.2", "GFDL-1.3")
+
+
+@pytest.mark.skipif(not FOLDER.is_dir(), reason="no license texts on this machine")
+def test_whole_licenses_known_by_digest(spark):
+    rows = []
+    for name, file in FILES.items():
+        text = (FOLDER / file).read_text()
+        changed = [text, text.upper(), text.replace("https://", "http://")]
+        if name not in WITH_FORM:
+            changed += [broken(text, 60), broken(text, 200)]
+        changed.append(text.replace("license", "licence").replace("\n", "\r\n"))
+        rows += [(f"{name} {i}", name, t) for i, t in enumerate(changed)]
+        rows.append((f"- {name}", None, text + "\n\nNot for use on Mondays."))
+        rows.append((f"-- {name}", None, text[: len(text) // 2]))
+    docs = spark.createDataFrame(rows, "doc_id string, name string, text string")
+    found = {r["doc_id"]: r["license"] for r in licenses.scan(docs).collect()}
+    assert {k: v for k, v in found.items() if v != (None if k[0] == "-" else k.split()[0])} == {}
+    with duckdb.connect() as db:
+        db.register("documents", pd.DataFrame(rows, columns=["doc_id", "name", "text"]))
+        by_sql = dict(db.execute(f"select doc_id, license from ({sql.LICENSES})").fetchall())
+    assert by_sql == found
+
+
+def test_every_digest_names_one_license():
+    digests = [digest for _, digest in licenses.WHOLE_DIGESTS]
+    assert len(set(digests)) == len(digests)
+    assert {name for name, _ in licenses.WHOLE_DIGESTS} == set(FILES)
