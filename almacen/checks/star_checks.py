@@ -295,13 +295,16 @@ def loaded_sales(d: Derived) -> DataFrame:
 
 @check(
     "d10_fact_row_id",
-    "select count(*) as filas, count(*) as distintas, cast(0 as bigint) as nulas from lineitem",
+    """select count(*) as filas, count(*) as distintas, cast(0 as bigint) as nulas,
+              cast(1 as bigint) as minimo, count(*) as maximo from lineitem""",
 )
 def row_ids(d: Derived) -> DataFrame:
     return d.star.fact_ventas.groupBy("id_venta").agg(F.count(F.lit(1)).alias("n")).agg(
         F.sum("n").alias("filas"),
         F.count("id_venta").alias("distintas"),
         F.count_if(F.col("id_venta").isNull()).alias("nulas"),
+        F.min("id_venta").alias("minimo"),
+        F.max("id_venta").alias("maximo"),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from almacen import schemas
@@ -12,6 +12,8 @@ from almacen.functions.numbers import to_decimal
 from almacen.model import FACT_KEYS
 from almacen.operators.boundary import null_reason
 
+#: Bits of an id that number_rows gives to the place in the partition.
+_PLACE_BITS = 33
 COLUMN_DEFAULTS = {"descuento": 0, "costo_envio": 0}
 
 
@@ -45,6 +47,30 @@ def number_rows(fact: DataFrame, id_column: str = "id_venta") -> DataFrame:
     """Add a unique row id.
 
     The id is made of the partition number and the row's place in it. It is
-    fixed when the table is written; nothing may depend on its value.
+    fixed when the table is written; ``gapless_ids`` makes a count of it.
     """
     return fact.select((F.monotonically_increasing_id() + 1).alias(id_column), "*")
+
+
+def gapless_ids(fact: DataFrame, id_column: str = "id_venta") -> DataFrame:
+    """The rows of a stored fact with their ids as 1, 2, ... in the order of the ids stored.
+
+    What a partition wrote has consecutive ids, so an id becomes its place there plus the
+    rows of the partitions before. The counts come from the id column of the same
+    files, so every reader gets the same ids, and nothing is written twice. They are a
+    subquery of the id alone: a query that does not use the ids does not count. The one
+    ungrouped window runs over as many rows as the table was written by tasks.
+    """
+    stored = F.col(id_column) - 1
+    part = F.shiftright(stored, _PLACE_BITS)
+    sizes = fact.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    last = sizes.agg(F.max("part").alias("last"))
+    every = last.select(F.explode(F.sequence(F.lit(0).cast("long"), "last")).alias("part"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = every.join(sizes, "part", "left").select(
+        "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")
+    )
+    in_order = F.array_sort(F.collect_list(F.struct("part", "start")))
+    starts = starts.agg(F.transform(in_order, lambda x: x["start"]).alias("starts")).scalar()
+    place = stored.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    return fact.withColumn(id_column, F.get(starts, part.cast("int")) + place + 1)

@@ -18,7 +18,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from almacen import schemas
-from almacen.model import DIMENSIONS, STAR_TABLES
+from almacen.model import DIMENSIONS, FACT_TABLE, STAR_TABLES
+from almacen.operators.facts import gapless_ids
 from almacen.operators.joins import fits
 
 _LOG_SCHEMA = "version int, folder string, filas map<string, bigint>"
@@ -114,6 +115,7 @@ class Warehouse:
             return None
         folder = f"{self.root}/{entry.folder}"
         tables = {n: read_table(self.spark, f"{folder}/{n}", n) for n in STAR_TABLES}
+        tables[FACT_TABLE] = gapless_ids(tables[FACT_TABLE])
         return Star(**tables, rows=dict(entry.filas or {}))
 
     def stage(self) -> Staging:

@@ -197,3 +197,26 @@ def test_views_answer_sql(spark, tmp_path):
            join dim_region r on c.id_region = r.id_region group by r.pais"""
     ).first()
     assert tuple(row) == ("Colombia", Decimal("15.00"))
+
+
+def test_fact_ids_count_from_one(spark, tmp_path):
+    def written(name, rows):
+        rows.transform(facts.number_rows).write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    rows = spark.range(0, 1000, 1, 7).filter("id not between 200 and 450")  # one partition is empty
+    stored = written("gaps", rows)
+    assert stored.agg(F.max("id_venta")).first()[0] > 1 << 33
+    found = facts.gapless_ids(stored)
+    numbered = contents(found)
+    assert [n for n, _ in numbered] == list(range(1, 750))
+    assert [i for _, i in numbered] == [i for i in range(1000) if not 200 <= i <= 450]
+    assert contents(facts.gapless_ids(stored.repartition(3))) == numbered
+    assert facts.gapless_ids(written("empty", rows.limit(0))).count() == 0
+
+
+def test_ids_are_counted_only_where_they_are_used(spark, tmp_path):
+    fact = star(spark, tmp_path, {}, {"total": 5.0}, {"ciudad": "Lima"}).fact_ventas
+    assert sorted(r.id_venta for r in fact.collect()) == [1, 2, 3]
+    plan = fact.groupBy("id_producto").agg(F.sum("total"))._jdf.queryExecution().executedPlan().toString()
+    assert "ubquery" not in plan and "id_venta" not in plan
