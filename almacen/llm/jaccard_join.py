@@ -12,12 +12,12 @@ parities of its set in 256 cells: two sets differ in at least as many n-grams as
 their parities do in cells, which discards most pairs inside the product.
 
 Only the components are asked for, so the product runs in rounds. In a round
-each column links its rows to a few of them, the hubs: of a random quarter of the
+each wide column links its rows to a few of them, the hubs: of a random quarter of the
 rows the one with the most common n-grams. That takes as many products as the
 column has rows, times HUBS. Rows found linked are
-merged; columns within one component need no more work. Once the pairs that are
-left are few, or hubs find next to nothing new, the last round multiplies out all
-pairs of different components. No candidate is dropped for its number.
+merged; columns within one component need no more work. Columns of a few rows wait
+for the last round. Once the pairs left in wide columns are few, or hubs find next to
+nothing new, the last round multiplies out all pairs of different components. No candidate is dropped for its number.
 """
 
 from __future__ import annotations
@@ -42,9 +42,12 @@ PERCENT = 80
 #: the order of the columns; the result does not depend on it.
 RANK_CELLS = 1 << 22
 _RANK_PARTS = 256
-#: The last round may look at so many pairs for each entry of the columns; it comes
-#: sooner when a round of hubs leaves more than LITTLE of the pairs, as those are mostly no links.
+#: A column with more pairs for each of its rows is wide: a few of these hold most pairs, however
+#: many narrow ones there are. The last round comes when all wide columns together have no more
+#: pairs than this share of what narrow ones may have; it comes sooner when a round of hubs leaves
+#: more than LITTLE of their pairs, as those are mostly no links.
 _PAIRS_PER_ENTRY = 8
+_WIDE_SHARE = 0.125
 _LITTLE = 0.25
 _HUB_ROUNDS = 8
 #: Hubs of a column in a round, each the most central row of another random quarter.
@@ -69,8 +72,7 @@ def _counted(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBat
             for i, j in zip(bounds[:-1], bounds[1:]):
                 grams = words.shingles(all_words[i:j], n) >> shift
                 np.add.at(cells, grams.astype(np.int64), 1)
-    parts = np.split(cells.astype(np.int64), _RANK_PARTS)
-    parts = [zlib.compress(p.tobytes(), 1) for p in parts]
+    parts = [zlib.compress(p.astype(np.int64).tobytes(), 1) for p in np.split(cells, _RANK_PARTS)]
     yield pa.RecordBatch.from_pydict(
         {"part": pa.array(range(_RANK_PARTS), pa.int32()), "cells": pa.array(parts, pa.binary())}
     )
@@ -258,13 +260,14 @@ class _Matrix:
         return found
 
     def hub_pairs(self, columns: DataFrame, turn: int) -> DataFrame:
-        """Each row of a column with the column's hubs, other ones in each turn."""
+        """Each row of a wide column with the column's hubs, other ones in each turn."""
         hubs = []
         for k in range(HUBS):
             quarter = F.pmod(F.xxhash64("id", F.lit(turn * HUBS + k)), F.lit(4)).alias("quarter")
             lot = [quarter, (-F.col("central")).alias("lot")]
             hubs.append(F.min(F.struct(*lot, "id", "n", "at", "component", "sign")))
-        hubs = columns.groupBy("gram").agg(F.array(*hubs).alias("hubs"))
+        hubs = columns.groupBy("gram").agg(F.array(*hubs).alias("hubs"), F.count("*").alias("rows"))
+        hubs = hubs.filter(F.col("rows") > 2 * _PAIRS_PER_ENTRY).drop("rows")
         met = columns.join(hubs, "gram").withColumn("hub", F.explode("hubs"))
         met = met.filter("component != hub.component").select(
             F.col("hub.id").alias("a"),
@@ -300,12 +303,16 @@ class _Matrix:
         return summed.filter(F.col("overlap") + left_over >= need).select("a", "b")
 
 
-def _pairs_left(columns: DataFrame) -> tuple[int, int]:
-    """Entries of the columns, and the pairs of different components in them."""
+def _pairs_left(columns: DataFrame) -> tuple[int, int, int]:
+    """Entries of the columns, the pairs of different components in them, and those in wide columns.
+
+    A column is wide if it has more than _PAIRS_PER_ENTRY pairs for each of its rows.
+    """
     parts = columns.groupBy("gram", "component").agg(F.count("*").cast("double").alias("k"))
     total = parts.groupBy("gram").agg(F.sum("k").alias("k"), F.sum(F.col("k") ** 2).alias("own"))
-    row = total.agg(F.sum("k"), F.sum((F.col("k") ** 2 - F.col("own")) / 2)).first()
-    return int(row[0] or 0), int(row[1] or 0)
+    pairs = (F.col("k") ** 2 - F.col("own")) / 2
+    wide = F.when(pairs > _PAIRS_PER_ENTRY * F.col("k"), pairs)
+    return tuple(int(x or 0) for x in total.agg(F.sum("k"), F.sum(pairs), F.sum(wide)).first())
 
 
 def jaccard_components(
@@ -345,12 +352,12 @@ def _components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     columns = matrix.columns(None)
     found, before = None, None
     for turn in range(_HUB_ROUNDS + 1):
-        entries, pairs = _pairs_left(columns)
+        entries, pairs, wide = _pairs_left(columns)
         if not pairs:
             break
-        little = before is not None and pairs > _LITTLE * before
-        last = little or turn == _HUB_ROUNDS or pairs <= _PAIRS_PER_ENTRY * entries
-        before = pairs
+        little = before is not None and wide > _LITTLE * before
+        last = little or turn == _HUB_ROUNDS or wide <= _WIDE_SHARE * _PAIRS_PER_ENTRY * entries
+        before = wide
         new = matrix.links(
             matrix.all_pairs(columns) if last else matrix.hub_pairs(columns, turn)
         )
