@@ -15,8 +15,8 @@ Only the components are asked for, so the product runs in rounds. In a round
 each wide column links its rows to a few of them, the hubs: of a random quarter of the
 rows the one with the most common n-grams. That takes as many products as the
 column has rows, times HUBS. Rows found linked are
-merged; columns within one component need no more work. Columns of a few rows wait
-for the last round. Once the pairs left in wide columns are few, or hubs find next to
+merged; columns within one component need no more work. Columns of a few rows are most of
+them and wait for the last round: no earlier one lays them out. Once the pairs left in wide columns are few, or hubs find next to
 nothing new, the last round multiplies out all pairs of different components. No candidate is dropped for its number.
 """
 
@@ -198,25 +198,33 @@ class _Matrix:
         entries = first.select("id", F.substring("digest", 1, 4).alias("part"), entry)
         # Counted and joined, not windowed: an n-gram of a third of all rows is no task of its own.
         shared = entries.groupBy("gram").agg(F.count("*").alias("rows")).filter("rows > 1")
+        wide = (F.col("rows") > 2 * _PAIRS_PER_ENTRY).alias("wide")
         columns = entries.join(shared, "gram").groupBy("id", "part").agg(
             F.round(F.sum(F.log("rows")), 6).alias("central"),
-            F.collect_list(F.struct((F.col("at") + 1).alias("at"), "gram")).alias("columns"),
+            F.collect_list(F.struct((F.col("at") + 1).alias("at"), "gram", wide)).alias("columns"),
         )
         sets = first.select("id", F.substring("digest", 1, 4).alias("part"), "n", "sign")
         self.sets = stored(columns.join(sets, ["id", "part"]).drop("part"), "columns")
         discard(first)
 
-    def columns(self, labels: DataFrame | None) -> DataFrame:
+    def entries(self) -> int:
+        """Entries of all columns that two or more rows share."""
+        return self.sets.agg(F.sum(F.size("columns"))).first()[0] or 0
+
+    def columns(self, labels: DataFrame | None, wide: bool) -> DataFrame:
         """Entries of the columns that two or more components share, with the component of each row.
 
-        Labels are joined with the sets, one row for each, before these are laid out.
+        With ``wide``, only of columns that had enough rows to be wide, and with how common the
+        row's n-grams are. Labels are joined with the sets, one row for each, before these are laid out.
         """
         sets = self.sets.withColumn("component", F.col("id"))
         if labels is not None:
             sets = self.sets.join(labels, F.col("id") == F.col("node"), "left")
             sets = sets.withColumn("component", F.coalesce("component", "id")).drop("node")
-        entries = sets.select("id", "n", "central", "sign", "component", F.explode("columns").alias("c"))
-        entries = entries.select("id", "n", "c.at", "c.gram", "central", "sign", "component")
+        laid_out = F.filter("columns", lambda c: c["wide"]) if wide else F.col("columns")
+        kept = ["n", "sign", "component"] + ["central"] * wide
+        entries = sets.select("id", *kept, F.explode(laid_out).alias("c"))
+        entries = entries.select("id", "c.at", "c.gram", *kept)
         if labels is None:
             return stored(entries, "columns")
         span = entries.groupBy("gram").agg(
@@ -349,15 +357,18 @@ def _identity(key: str, text: str):
 def _components(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, component_id of rows that all have a key."""
     matrix = _Matrix(docs, n, percent)
-    columns = matrix.columns(None)
-    found, before = None, None
+    entries, found, labels, before = matrix.entries(), None, None, None
     for turn in range(_HUB_ROUNDS + 1):
-        entries, pairs, wide = _pairs_left(columns)
-        if not pairs:
-            break
+        columns = matrix.columns(labels, wide=True)
+        wide = _pairs_left(columns)[2]
         little = before is not None and wide > _LITTLE * before
         last = little or turn == _HUB_ROUNDS or wide <= _WIDE_SHARE * _PAIRS_PER_ENTRY * entries
         before = wide
+        if last:
+            discard(columns)
+            columns = matrix.columns(labels, wide=False)
+            if columns.isEmpty():
+                break
         new = matrix.links(
             matrix.all_pairs(columns) if last else matrix.hub_pairs(columns, turn)
         )
@@ -370,7 +381,6 @@ def _components(docs: DataFrame, n: int, percent: int) -> DataFrame:
         discard(columns)
         if last:
             break
-        columns = matrix.columns(labels)
     classes = matrix.classes.withColumn("component", F.col("id"))
     if found is not None:
         classes = matrix.classes.join(labels, F.col("id") == F.col("node"), "left").select(
