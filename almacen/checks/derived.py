@@ -15,11 +15,17 @@ from almacen.checks import mapping
 from almacen.plans.cleaning_run import CleaningRun, run_cleaning
 from almacen.plans.star_load import load_star
 from almacen.session import SETTINGS
-from almacen.sources import files
+from almacen.sources import files, passes
 from almacen.sources.warehouse import Star, Warehouse
 from almacen.sources.workspace import shared_folder
 
 
+# Line items that are joined at once for the raw file.
+_PASS_ITEMS = 20_000_000
+# Rows of a raw file, which is compressed and so read by one task.
+_FILE_ROWS = 200_000
+
+
 class Derived:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -65,15 +71,22 @@ class Derived:
 
     @cached_property
     def raw_path(self) -> str:
+        """The raw file, compressed and written in passes: at any time the disk holds the joins of one."""
         path = f"{self.folder}/raw_csv"
-        (
-            mapping.raw_sales(self.spark, self.sf_dir)
-            .write.option("header", True)
-            .option("escape", '"')
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False)
-            .csv(path)
-        )
+        items = mapping.table(self.spark, self.sf_dir, "lineitem").count()
+        number = passes.passes_for(items, _PASS_ITEMS)
+        for i in range(number):
+            with passes.shuffles_released(self.spark):
+                (
+                    mapping.raw_sales(self.spark, self.sf_dir, (i, number))
+                    .write.mode("append")
+                    .option("header", True)
+                    .option("escape", '"')
+                    .option("ignoreLeadingWhiteSpace", False)
+                    .option("ignoreTrailingWhiteSpace", False)
+                    .option("maxRecordsPerFile", _FILE_ROWS)
+                    .csv(path, compression="gzip")
+                )
         return path
 
     @property

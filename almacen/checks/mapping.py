@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from almacen.functions.dates import calendar_columns
 from almacen.model import CLEAN_COLUMNS
+from almacen.sources.passes import in_pass
 
 SEGMENTS = {"MACHINERY": "Enterprise", "AUTOMOBILE": "Enterprise", "BUILDING": "Wholesale"}
 
@@ -38,18 +39,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def line_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_items(spark: SparkSession, sf_dir: str, part: tuple[int, int] = (0, 1)) -> DataFrame:
     """Every line item with its order, customer, place and part, money as decimals.
 
     Customers join the orders, so a line item is shuffled for its order and its part only;
     the few nations and regions come last and are carried by their keys until then.
+    ``part`` (number, parts) takes the items of some of the orders; all parts make the whole.
     """
-    orders = table(spark, sf_dir, "orders").join(
-        table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey")
-    )
+    items, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    if part[1] > 1:
+        items = items.filter(in_pass(*part, "l_orderkey"))
+        orders = orders.filter(in_pass(*part, "o_orderkey"))
+    orders = orders.join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
     joined = (
-        table(spark, sf_dir, "lineitem")
-        .join(orders, F.expr("l_orderkey = o_orderkey"))
+        items.join(orders, F.expr("l_orderkey = o_orderkey"))
         .join(table(spark, sf_dir, "part"), F.expr("l_partkey = p_partkey"))
         .join(table(spark, sf_dir, "nation"), F.expr("c_nationkey = n_nationkey"))
         .join(table(spark, sf_dir, "region"), F.expr("n_regionkey = r_regionkey"))
@@ -129,9 +132,9 @@ _RAW_CELLS = {
 }
 
 
-def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_sales(spark: SparkSession, sf_dir: str, part: tuple[int, int] = (0, 1)) -> DataFrame:
     """Untidy sales as text: every defect cleaning handles, undiscounted items twice."""
-    rows = line_items(spark, sf_dir)
+    rows = line_items(spark, sf_dir, part)
     copies = F.when(F.col("l_discount") == 0, F.array(F.lit(1), F.lit(2))).otherwise(
         F.array(F.lit(1))
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,11 +13,15 @@ from almacen.functions.dates import voted_format
 from almacen.model import CleaningRules
 from almacen.operators import cleaning as c
 from almacen.operators import profiling
-from almacen.sources import files
+from almacen.sources import files, passes
 from almacen.sources.workspace import shared_folder
 
 RULES = c.RULES
 
+# Text that is grouped at once; a larger file is grouped in passes.
+PASS_BYTES = 1 << 30
+_PASS = "_pass"
+
 
 def _standardise(named: DataFrame, rules: CleaningRules) -> DataFrame:
     return (
@@ -61,6 +65,20 @@ def rejected(raw: DataFrame, rules: CleaningRules = RULES) -> DataFrame:
     return prepare(raw, rules).withColumn("motivo", reason).filter(F.col("motivo").isNotNull())
 
 
+def _with_reasons(raw: DataFrame, rules: CleaningRules) -> DataFrame:
+    """Every row of the file, typed, with ``motivo`` and ``celdas`` (see ``grouped``)."""
+    named = c.normalise_names(raw)
+    cells = F.struct(*[F.col(name) for name in named.columns]).alias("_celdas")
+    typed = _standardise(named.select("*", cells), rules)
+    reason = typed.withColumn("motivo", c.rejection_reason(rules))
+    celdas = F.when(F.col("motivo").isNotNull(), F.col("_celdas"))
+    return reason.withColumn("celdas", celdas).drop("_celdas")
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copias"))
+
+
 def grouped(raw: DataFrame, rules: CleaningRules = RULES) -> DataFrame:
     """Every row of the file, typed, with ``motivo``, ``celdas`` and ``copias``.
 
@@ -68,13 +86,28 @@ def grouped(raw: DataFrame, rules: CleaningRules = RULES) -> DataFrame:
     cells as they were read, of rows left out only; copias counts equal rows. The
     copies collapse on the map side, so the one shuffle carries distinct rows.
     """
-    named = c.normalise_names(raw)
-    cells = F.struct(*[F.col(name) for name in named.columns]).alias("_celdas")
-    typed = _standardise(named.select("*", cells), rules)
-    reason = typed.withColumn("motivo", c.rejection_reason(rules))
-    celdas = F.when(F.col("motivo").isNotNull(), F.col("_celdas"))
-    rows = reason.withColumn("celdas", celdas).drop("_celdas")
-    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copias"))
+    return _counted(_with_reasons(raw, rules))
+
+
+def _grouped_in_passes(raw: DataFrame, rules: CleaningRules, number: int) -> Iterator[DataFrame]:
+    """``grouped`` in parts, to be written one after the other.
+
+    The file is still read and cleaned once: the typed rows are written, by a hash that
+    equal rows share, and each part is grouped from its own. They take a fraction of
+    their shuffle, for they are compressed by column, and go when their part is written.
+    """
+    rows = _with_reasons(raw, rules)
+    typed = [name for name in rows.columns if name != "celdas"]
+    rows = rows.withColumn(_PASS, passes.pass_of(number, *typed))
+    spark, path = raw.sparkSession, f"{shared_folder(raw.sparkSession)}/typed-{uuid.uuid4().hex}"
+    try:
+        rows.write.partitionBy(_PASS).option("compression", "zstd").parquet(path)
+        stored = spark.read.schema(rows.schema).parquet(path)
+        for i in range(number):
+            yield _counted(stored.filter(F.col(_PASS) == i).drop(_PASS))
+            passes.remove(spark, f"{path}/{_PASS}={i}")
+    finally:
+        passes.remove(spark, path)
 
 
 @dataclass(frozen=True)
@@ -135,12 +168,15 @@ def clean_once(
 
     With ``date_candidates`` all dates vote on their format first, which reads the
     file's dates once more. A file with dates of which none is readable is an error.
+    More than ``PASS_BYTES`` of text is grouped in passes, one shuffle after the other.
     """
     raw = files.load_raw(spark, raw_path, multiline, rules.na_tokens)
     if date_candidates:
         winner = voted_format(c.normalise_names(raw), rules.date, date_candidates)
         rules = replace(rules, date_formats=(winner,))
-    grouped(raw, rules).write.mode("overwrite").parquet(run_path)
+    number = passes.passes_for(passes.text_bytes(spark, raw_path), PASS_BYTES)
+    parts = _grouped_in_passes(raw, rules, number) if number > 1 else iter([grouped(raw, rules)])
+    passes.write_in_passes(parts, run_path)
     run = CleaningRun(spark.read.parquet(run_path), rules)
     if run.rows.filter("motivo is null").isEmpty():
         _refuse_unreadable_dates(run)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from almacen.functions.text import blank_to_null
 from almacen.model import NA_TOKENS
+from almacen.sources.passes import write_in_passes
 
 
 _LINE = "_line"
@@ -183,7 +184,7 @@ def load_clean_csv(
 
 def export_clean(clean: DataFrame, path: str) -> None:
     """Replace the clean dataset at ``path`` (Parquet)."""
-    clean.write.mode("overwrite").parquet(path)
+    write_in_passes(iter([clean]), path)
 
 
 def export_clean_csv(clean: DataFrame, path: str) -> None:
