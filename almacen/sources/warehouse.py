@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
@@ -21,6 +22,7 @@ from almacen import schemas
 from almacen.model import DIMENSIONS, FACT_TABLE, STAR_TABLES
 from almacen.operators.facts import gapless_ids
 from almacen.operators.joins import fits
+from almacen.sources.passes import write_in_passes
 
 _LOG_SCHEMA = "version int, folder string, filas map<string, bigint>"
 
@@ -59,7 +61,11 @@ class Staging:
 
     def write(self, name: str, table: DataFrame) -> DataFrame:
         """Write the table, note its row count and return it read back."""
-        table.write.mode("overwrite").parquet(f"{self.folder}/{name}")
+        return self.write_parts(name, iter([table]))
+
+    def write_parts(self, name: str, parts: Iterator[DataFrame]) -> DataFrame:
+        """``write`` for a table in parts, which are written one after the other."""
+        write_in_passes(parts, f"{self.folder}/{name}")
         stored = self.read(name)
         self.rows[name] = stored.count()  # answered from the file footers
         return stored

@@ -12,6 +12,7 @@ from builders import raw
 from almacen.checks import derived, mapping
 from almacen.plans import cleaning_run
 from almacen.sources import files, passes
+from almacen.sources.warehouse import Warehouse
 from almacen.sources.workspace import shared_folder
 
 SMALL = "/root/testdata/sf0.001"
@@ -104,3 +105,12 @@ def test_text_bytes_of_an_empty_folder_is_nothing(spark, tmp_path):
     (tmp_path / "empty.csv").write_text("")
     assert passes.text_bytes(spark, str(tmp_path)) == 0
     assert [passes.passes_for(n, 10) for n in (0, 1, 10, 11, 20, 21)] == [1, 1, 1, 2, 2, 3]
+
+
+def test_staged_tables_leave_no_shuffle_files(spark, tmp_path):
+    before = _shuffle_files(spark)
+    staging = Warehouse(spark, str(tmp_path)).stage()
+    rows = spark.range(3000).repartition(3)
+    stored = staging.write("keys", rows.groupBy("id").count())
+    assert stored.count() == staging.rows["keys"] == 3000
+    assert not _left_over(spark, before)
