@@ -10,6 +10,7 @@ import time
 from builders import raw
 
 from almacen.checks import derived, mapping
+from almacen.operators import boundary
 from almacen.plans import cleaning_run
 from almacen.sources import files, passes
 from almacen.sources.warehouse import Warehouse
@@ -114,3 +115,12 @@ def test_staged_tables_leave_no_shuffle_files(spark, tmp_path):
     stored = staging.write("keys", rows.groupBy("id").count())
     assert stored.count() == staging.rows["keys"] == 3000
     assert not _left_over(spark, before)
+
+
+def test_the_clean_csv_of_the_checks_is_compressed(spark):
+    inputs = derived.Derived(spark, SMALL)
+    path = inputs.clean_csv_path.removeprefix("file:")
+    written = glob.glob(f"{path}/part-*")
+    assert written and all(f.endswith(".csv.gz") for f in written)
+    rows = boundary.type_clean_columns(files.load_clean_csv(spark, path))
+    assert _rows(rows) == _rows(boundary.blank_tokens_to_null(inputs.cleaned))
