@@ -43,13 +43,20 @@ def rejected_facts(sales: DataFrame) -> DataFrame:
     return sales.withColumn("motivo", reason).filter(F.col("motivo").isNotNull())
 
 
-def number_rows(fact: DataFrame, id_column: str = "id_venta") -> DataFrame:
+def number_rows(fact: DataFrame, id_column: str = "id_venta", first_part: int = 0) -> DataFrame:
     """Add a unique row id.
 
-    The id is made of the partition number and the row's place in it. It is
-    fixed when the table is written; ``gapless_ids`` makes a count of it.
+    The id is made of the partition number, counted from ``first_part``, and the row's place
+    in it. It is fixed when the table is written; ``gapless_ids`` makes a count of it.
     """
-    return fact.select((F.monotonically_increasing_id() + 1).alias(id_column), "*")
+    start = F.lit((first_part << _PLACE_BITS) + 1)
+    return fact.select((F.monotonically_increasing_id() + start).alias(id_column), "*")
+
+
+def parts_numbered(fact: DataFrame, id_column: str = "id_venta") -> int:
+    """The partition numbers that the ids of a stored fact have used: the ``first_part`` of more rows."""
+    last = fact.agg(F.max(F.shiftright(F.col(id_column) - 1, _PLACE_BITS))).first()[0]
+    return 0 if last is None else last + 1
 
 
 def gapless_ids(fact: DataFrame, id_column: str = "id_venta") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,13 +13,15 @@ from almacen import schemas
 from almacen.model import DIM_CLIENTE, DIM_FECHA, DIM_PRODUCTO, DIM_REGION, FACT_TABLE
 from almacen.operators import boundary, constraints, dimensions, facts
 from almacen.operators.joins import fits, join_dimension
-from almacen.sources import files
+from almacen.sources import files, passes
 from almacen.sources.warehouse import PublishConflict, Star, Staging, Warehouse
 from almacen.sources.workspace import shared_folder
 
 # A customer profile by its labels: the dimension's key with the region spelled out.
 _PROFILE = ["tipo_cliente", "segmento_cliente", "tipo_venta", "ciudad", "pais"]
 _PROFILE_LENGTHS = schemas.TEXT_LENGTHS["dim_cliente"] | schemas.TEXT_LENGTHS["dim_region"]
+# Sales that are joined at once with dimensions too large to broadcast; more are joined in passes.
+PASS_SALES = 20_000_000
 
 
 @dataclass(frozen=True)
@@ -73,13 +76,16 @@ def _load_profiles(profiles: DataFrame, existing: Star | None, staging: Staging)
     return staging.write("profile_ids", with_both.select(*_PROFILE, "id_cliente"))
 
 
+def _few_profiles(profile_ids: DataFrame, staging: Staging) -> bool:
+    return fits(staging.rows["profile_ids"], profile_ids.schema, _PROFILE_LENGTHS)
+
+
 def with_ids(sales: DataFrame, existing: Star | None, staging: Staging) -> DataFrame:
     """Load the four dimensions and add their ids to the sales."""
     keys = staging.write("keys", _distinct_keys(sales))
     profiles = keys.filter(keys.kind == "profile").select(*_PROFILE)
     profile_ids = _load_profiles(profiles, existing, staging)
-    few = fits(staging.rows["profile_ids"], profile_ids.schema, _PROFILE_LENGTHS)
-    identified = join_dimension(sales, profile_ids, _PROFILE, few, "left")
+    identified = join_dimension(sales, profile_ids, _PROFILE, _few_profiles(profile_ids, staging), "left")
     for kind, dimension in (("product", DIM_PRODUCTO), ("date", DIM_FECHA)):
         found = keys.filter(keys.kind == kind)
         known = existing and existing.table(dimension.table)
@@ -89,14 +95,23 @@ def with_ids(sales: DataFrame, existing: Star | None, staging: Staging) -> DataF
     return identified
 
 
+def _fact_parts(identified: DataFrame, number: int, staging: Staging) -> Iterator[DataFrame]:
+    """The fact in parts, each of other sales, to be written one after the other."""
+    for i in range(number):
+        some = identified.filter(passes.in_pass(i, number, *schemas.MEASURE_TYPES, *_PROFILE, "fecha"))
+        fact = facts.fact_rows(some if number > 1 else identified)
+        yield facts.number_rows(fact, first_part=facts.parts_numbered(staging.read(FACT_TABLE)) if i else 0)
+
+
 def load_star(
     clean: DataFrame, warehouse: Warehouse, check_fact: bool = True, attempts: int = 5
 ) -> LoadResult:
     """Merge the dimensions, replace the fact, check, publish.
 
     ``clean`` is read twice, for the dimensions and for the fact; give it as a
-    stored dataset, not as the plan that cleans it. Members already known
-    keep their ids and stay, also when no sale names them any more. If another load
+    stored dataset, not as the plan that cleans it. Where a dimension is too large to
+    broadcast, it is read for each further ``PASS_SALES`` sales once more. Members already
+    known keep their ids and stay, also when no sale names them any more. If another load
     publishes meanwhile, this one starts again from that load's members.
     """
     for attempt in range(attempts):
@@ -118,13 +133,16 @@ def _load_once(clean: DataFrame, warehouse: Warehouse, check_fact: bool) -> Load
     # Before any sale is joined: a member that breaks a rule stops the load here.
     checks = constraints.dimension_violations(staging.dimensions())
     constraints.enforce(constraints.union(checks), f"{staging.folder}/violations")
-    staging.write(FACT_TABLE, facts.number_rows(facts.fact_rows(identified)))
+    complete = staging.read("keys").filter("kind = 'date'").agg(F.sum("ventas")).first()[0] or 0
+    small = _few_profiles(staging.read("profile_ids"), staging)
+    small = small and all(staging.is_small(d.table) for d in (DIM_PRODUCTO, DIM_FECHA))
+    number = 1 if small else passes.passes_for(complete, PASS_SALES)
+    staging.write_parts(FACT_TABLE, _fact_parts(identified, number, staging))
     star = staging.star()
     if check_fact:
         # Ids come from the members just checked, so only the fact's own columns are left.
         violations = constraints.fact_column_violations(star)
         constraints.enforce(violations, f"{staging.folder}/fact_violations")
-    complete = staging.read("keys").filter("kind = 'date'").agg(F.sum("ventas")).first()[0] or 0
     read = clean.count()
     left_out = {"incomplete": read - complete, "null measure": complete - star.rows[FACT_TABLE]}
     return LoadResult(warehouse.publish(staging, after), star.rows, read, left_out)

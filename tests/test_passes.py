@@ -7,11 +7,12 @@ import gzip
 import os
 import time
 
-from builders import raw
+from builders import raw, sales
 
 from almacen.checks import derived, mapping
-from almacen.operators import boundary
-from almacen.plans import cleaning_run
+from almacen.operators import boundary, facts, joins
+from almacen.plans import cleaning_run, star_load
+from almacen.plans.star_load import load_star
 from almacen.sources import files, passes
 from almacen.sources.warehouse import Warehouse
 from almacen.sources.workspace import shared_folder
@@ -108,6 +109,34 @@ def test_text_bytes_of_an_empty_folder_is_nothing(spark, tmp_path):
     assert [passes.passes_for(n, 10) for n in (0, 1, 10, 11, 20, 21)] == [1, 1, 1, 2, 2, 3]
 
 
+def test_a_fact_loaded_in_passes_is_the_same_fact(spark, tmp_path, monkeypatch):
+    changes = [{"producto": f"p{i % 9}", "total": float(i), "ciudad": "Cali" if i % 4 else "Lima"} for i in range(60)]
+    clean = sales(spark, *changes, {"pais": None}, {"cantidad": None})
+    columns = ["producto", "ciudad", "total", "cantidad"]
+
+    def load(name):
+        warehouse = Warehouse(spark, str(tmp_path / name))
+        result = load_star(clean, warehouse)
+        star = warehouse.read()
+        rows = star.fact_ventas.join(star.dim_producto, "id_producto").join(star.dim_cliente, "id_cliente")
+        return result, star, _rows(rows.join(star.dim_region, "id_region").select(*columns))
+
+    result, _, expected = load("once")
+    monkeypatch.setattr(star_load, "PASS_SALES", 25)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    numbers = []
+    number_rows = facts.number_rows
+    monkeypatch.setattr(
+        facts, "number_rows", lambda fact, first_part: numbers.append(first_part) or number_rows(fact, first_part=first_part)
+    )
+    again, star, rows = load("passes")
+    assert len(numbers) == 3 and numbers == sorted(set(numbers))
+    assert rows == expected and len(rows) == 60
+    assert (again.rows, again.read, again.left_out) == (result.rows, result.read, result.left_out)
+    ids = sorted(r.id_venta for r in star.fact_ventas.select("id_venta").collect())
+    assert ids == list(range(1, 61))
+
+
 def test_staged_tables_leave_no_shuffle_files(spark, tmp_path):
     before = _shuffle_files(spark)
     staging = Warehouse(spark, str(tmp_path)).stage()
