@@ -23,6 +23,7 @@ from almacen.model import (
 )
 from almacen.operators import constraints, dimensions, facts, profiling
 from almacen.plans import star_load
+from almacen.schemas import MEASURE_TYPES
 from almacen.sources.warehouse import Star
 
 
@@ -283,13 +284,13 @@ select {o.DAY} as fecha, producto, tipo_producto, tipo_cliente, segmento_cliente
 def loaded_sales(d: Derived) -> DataFrame:
     """Every sale of the raw file as the star gives it back."""
     star = d.cleaned_star
-    return (
-        star.fact_ventas.join(star.dim_cliente, "id_cliente")
-        .join(star.dim_region, "id_region")
-        .join(star.dim_producto, "id_producto")
-        .join(star.dim_fecha, "id_fecha")
-        .drop("id_venta", "id_cliente", "id_region", "id_producto", "id_fecha")
-        .drop("year", "month", "year_month")
+    # Products first: if they are too many to broadcast, only ids and measures are shuffled.
+    rows = star.fact_ventas.drop("id_venta").join(star.dim_producto, "id_producto")
+    rows = rows.join(star.dim_cliente, "id_cliente").join(star.dim_region, "id_region")
+    rows = rows.join(star.dim_fecha, "id_fecha")
+    customer = ("tipo_cliente", "segmento_cliente", "tipo_venta")
+    return rows.select(
+        *MEASURE_TYPES, *customer, "ciudad", "pais", "producto", "tipo_producto", "fecha"
     )
 
 

@@ -10,6 +10,7 @@ import time
 from builders import raw, sales
 
 from almacen.checks import derived, mapping
+from almacen.checks.catalog import CHECKS
 from almacen.operators import boundary, facts, joins
 from almacen.plans import cleaning_run, star_load
 from almacen.plans.star_load import load_star
@@ -137,6 +138,13 @@ def test_a_fact_loaded_in_passes_is_the_same_fact(spark, tmp_path, monkeypatch):
     assert ids == list(range(1, 61))
 
 
+def test_loaded_sales_meet_their_products_first(spark):
+    plan = CHECKS["d09b_loaded_sales"](spark, SMALL)
+    tree = plan._jdf.queryExecution().analyzed().toString().split("\n")
+    found = [line for line in tree if "Join Inner, (id_" in line]
+    assert len(found) == 4 and "(id_producto" in found[-1]  # the innermost
+
+
 def test_staged_tables_leave_no_shuffle_files(spark, tmp_path):
     before = _shuffle_files(spark)
     staging = Warehouse(spark, str(tmp_path)).stage()
